@@ -71,7 +71,7 @@ def sentiment_ctes(texts: str, rules: Rules = sample.RULES, lexicon: dict[str, f
     negates = lambda i: f"({_in(f'lower(b{i})', rules.negations)} OR coalesce(contains(lower(b{i}), {_text(rules.negation_part)}), false))"
     follows = lambda i: _in(f"b{i}", rules.never_followers)
     never = lambda i: f"b{i} = {_text(rules.never)}"
-    plain = lambda i: f"(at >= {i} AND NOT known{i})"
+    plain = lambda i: f"(place >= {i} AND NOT known{i})"
     away = lambda v: f"(CASE WHEN {v} > 0 THEN {fixed.BOOST_CAPS}::DOUBLE ELSE -{fixed.BOOST_CAPS}::DOUBLE END)"
     negation = lambda i: f"CASE WHEN {negates(i)} THEN {fixed.NEGATION_SCALE}::DOUBLE ELSE 1.0::DOUBLE END"
     scale = {
@@ -106,10 +106,10 @@ facts AS (
     coalesce(list_position(list_transform(words, lambda w: lower(w)), {_text(rules.contrast)}), 0) AS contrast
   FROM cut),
 tokens AS (
-  SELECT id, n, mixed, contrast, generate_subscripts(words, 1) - 1 AS at, unnest(words) AS w FROM facts),
+  SELECT id, n, mixed, contrast, generate_subscripts(words, 1) - 1 AS place, unnest(words) AS w FROM facts),
 placed AS (
   SELECT *, lag(w, 1) OVER o AS b1, lag(w, 2) OVER o AS b2, lag(w, 3) OVER o AS b3, lead(w, 1) OVER o AS a1, lead(w, 2) OVER o AS a2
-  FROM tokens WINDOW o AS (PARTITION BY id ORDER BY at)),
+  FROM tokens WINDOW o AS (PARTITION BY id ORDER BY place)),
 hits AS (
   SELECT p.*, l.valence,
     coalesce(lower(b1) IN (SELECT token FROM lexicon), false) AS known1,
@@ -125,13 +125,13 @@ phrased AS (
     + (CASE WHEN {plain(3)} AND {pair} THEN {fixed.BOOST_DOWN}::DOUBLE ELSE 0.0::DOUBLE END) AS v4
   FROM step3),
 valued AS (
-  SELECT id, at, w, contrast, CASE WHEN {modifier} THEN 0 ELSE floor(
+  SELECT id, place, w, contrast, CASE WHEN {modifier} THEN 0 ELSE floor(
     v4 * (CASE WHEN {plain(1)} AND lower(b1) = {_text(rules.least)} AND NOT {_in('lower(b2)', rules.least_exceptions)}
       THEN {fixed.NEGATION_SCALE}::DOUBLE ELSE 1.0::DOUBLE END) * 1e9::DOUBLE + 0.5::DOUBLE)::BIGINT END AS own
   FROM phrased),
 firsts AS (
-  SELECT id, first_value(own) OVER (PARTITION BY id, w ORDER BY at) AS s,
-    CASE WHEN contrast > 0 AND at + 1 < contrast THEN 1 WHEN contrast > 0 AND at + 1 > contrast THEN 3 ELSE 2 END AS halves
+  SELECT id, first_value(own) OVER (PARTITION BY id, w ORDER BY place) AS s,
+    CASE WHEN contrast > 0 AND place + 1 < contrast THEN 1 WHEN contrast > 0 AND place + 1 > contrast THEN 3 ELSE 2 END AS halves
   FROM valued),
 sums AS (
   SELECT id, sum(s * halves) AS total,
