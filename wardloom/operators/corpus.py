@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.text import NEWLINE, cut_records
 from wardloom.operators.numbering import running_offsets
+from wardloom.session import broadcast_if_small
 from wardloom.sources.text import SUFFIX, read_text_files, read_text_lines
 
 
@@ -34,15 +35,15 @@ def corpus_of_texts(texts: DataFrame, key: str, text: str, delimiter: str) -> Co
     """Corpus of all records of ``texts``, in order of ``key`` (unique) and then of position.
 
     Only ``(key, number of records)`` is ordered and numbered; the texts join their offset by key
-    before they are cut, so one row per text moves at most, and none if the keys are few enough
-    for Spark to broadcast.
+    before they are cut, so at most one row per text moves, and none if the keys are measured to
+    be few enough to broadcast.
     """
     counts = texts.groupBy(key).agg(
         F.sum(F.array_size(cut_records(F.col(text), delimiter)).cast("long")).alias("n"), F.count(F.lit(1)).alias("_texts")
     )
     placed = running_offsets(counts.withColumn("n", F.coalesce("n", F.lit(0))), [key])
     size = _size(placed)
-    cut = texts.select(key, F.col(text).alias("_text")).join(placed.select(key, "offset"), key)
+    cut = texts.select(key, F.col(text).alias("_text")).join(broadcast_if_small(placed.select(key, "offset")), key)
     records = cut.select("offset", F.posexplode(cut_records(F.col("_text"), delimiter)).alias("pos", "text"))
     return Corpus(records.select((F.col("offset") + F.col("pos")).alias("idx"), "text"), size)
 
@@ -62,7 +63,7 @@ def corpus_of_folder(spark: SparkSession, folder: str, delimiter: str, suffix: s
         F.count(F.lit(1)).alias("n"), F.min("line_no").alias("_first"), F.lit(1).cast("long").alias("_texts")
     )
     placed = running_offsets(counts, blocks)
-    records = lines.join(placed.select(*blocks, "offset", "_first"), blocks).select(
+    records = lines.join(broadcast_if_small(placed.select(*blocks, "offset", "_first")), blocks).select(
         (F.col("offset") + F.col("line_no") - F.col("_first")).alias("idx"), "text"
     )
     return Corpus(records, _size(placed)).require_records()

@@ -46,7 +46,8 @@ def running_offsets(counts: DataFrame, order_by: Sequence[str], count: str = "n"
 
     Two levels instead of one global window: the rows are range-partitioned and sorted, their
     place is written down, and only one total per range (as many as there are partitions) goes
-    through a single task.
+    through a single task. The result is a written table: it is narrow, used more than once, and
+    its size then decides how it is joined.
     """
     ranges = shuffle_width(counts)
     placed = materialize(
@@ -63,9 +64,10 @@ def running_offsets(counts: DataFrame, order_by: Sequence[str], count: str = "n"
     )
     in_range = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     # `bases` has at most `ranges` rows, so this broadcast cannot grow with the data.
-    return (
+    numbered = (
         placed.withColumn("_inner", F.coalesce(F.sum(count).over(in_range), F.lit(0)))
         .join(F.broadcast(bases), "_range")
         .withColumn(name, F.col("_base") + F.col("_inner"))
         .select(*counts.columns, name)
     )
+    return materialize(numbered, "offsets")

@@ -149,23 +149,35 @@ def _idioms(rules: Rules) -> Column:
     return F.create_map(*[F.lit(part) for words, value in rules.idioms for part in (words, float(value))])
 
 
-def _judged(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """What the words around each hit do to it, as numbers; a neighbour in the lexicon does nothing.
-
-    ``_boost<i>`` is the step of the i-th word before (NULL if none), ``_scale<i>`` its factor,
-    ``_idiom`` a value that replaces all so far, ``_pair`` and ``_least`` come last.
-    """
-    hits = hits.withColumns({f"l_{c}": F.lower(c) for c in ("w", "b1", "b2", "b3", "a1")})
+def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
+    """Append ``_s``, the valence of each hit after all rules about its neighbours."""
     for i in range(1, BEFORE + 1):
         known = lexicon.select(F.col("token").alias("_token"))  # the same three times: broadcast once
-        hits = hits.join(known, F.col(f"l_b{i}") == F.col("_token"), "left").withColumnRenamed("_token", f"_known{i}")
+        hits = hits.join(known, F.lower(f"b{i}") == F.col("_token"), "left").withColumnRenamed("_token", f"_known{i}")
+
+    def judge(word: Column, known: Column) -> Column:
+        """What a preceding word does; one that is in the lexicon itself does nothing."""
+        lower, acts = F.lower(word), word.isNotNull() & known.isNull()
+        step = F.when(lower.isin(list(rules.intensifiers)), F.lit(fixed.BOOST_UP)).when(
+            lower.isin(list(rules.dampeners)), F.lit(fixed.BOOST_DOWN)
+        )
+        negates = lower.isin(list(rules.negations)) | lower.contains(rules.negation_part)
+        return F.struct(
+            acts.alias("acts"),
+            F.when(acts, step).alias("boost"),
+            (_is_caps(word) & F.col("_mixed_caps")).alias("loud"),
+            F.coalesce(negates, F.lit(False)).alias("negates"),
+        )
 
-    def plain(i: int) -> Column:
-        return (F.col("at") >= i) & F.col(f"_known{i}").isNull()
+    before = [f"b{i}" for i in range(1, BEFORE + 1)]
+    known = [f"_known{i}" for i in range(1, BEFORE + 1)]
+    judged = hits.withColumn("_near", F.zip_with(F.array(*before), F.array(*known), judge))
+
+    def near(i: int, field: str) -> Column:
+        return F.col("_near")[i - 1][field]
 
     def negation(i: int) -> Column:
-        negates = _one_of(f"l_b{i}", rules.negations) | F.col(f"l_b{i}").contains(rules.negation_part)
-        return F.when(negates, F.lit(fixed.NEGATION_SCALE)).otherwise(1.0)
+        return F.when(near(i, "negates"), F.lit(fixed.NEGATION_SCALE)).otherwise(1.0)
 
     def follower(i: int) -> Column:
         return _one_of(f"b{i}", rules.never_followers)
@@ -175,43 +187,47 @@ def _judged(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
         F.when((F.col("b2") == rules.never) & follower(1), F.lit(fixed.NEVER_SCALE_NEAR)).otherwise(negation(2)),
         F.when(((F.col("b3") == rules.never) & follower(2)) | follower(1), F.lit(fixed.NEVER_SCALE_FAR)).otherwise(negation(3)),
     )
-    judged = {}
-    for i, scale in enumerate(scales, start=1):
-        step = F.when(_one_of(f"l_b{i}", rules.intensifiers), F.lit(fixed.BOOST_UP)).when(
-            _one_of(f"l_b{i}", rules.dampeners), F.lit(fixed.BOOST_DOWN)
-        )
-        judged[f"_boost{i}"] = F.when(plain(i), step)
-        judged[f"_loud{i}"] = _is_caps(F.col(f"b{i}")) & F.col("_mixed_caps")
-        judged[f"_scale{i}"] = F.when(plain(i), scale).otherwise(1.0)
+    steps = F.array(
+        *[
+            F.struct(
+                near(i, "boost").alias("boost"),
+                near(i, "loud").alias("loud"),
+                F.lit(damping).alias("damping"),
+                F.when(near(i, "acts"), scale).otherwise(1.0).alias("scale"),
+            )
+            for i, (damping, scale) in enumerate(zip(fixed.DISTANCE_DAMPING, scales, strict=True), start=1)
+        ]
+    )
 
     # The last phrase that looks on wins, then the first one that looks back.
     phrases = ("w a1 a2", "w a1", "b1 w", "b2 b1 w", "b2 b1", "b3 b2 b1", "b3 b2")
     found = [F.try_element_at(_idioms(rules), F.expr("concat(" + ", ' ', ".join(p.split()) + ")")) for p in phrases]
-    judged["_idiom"] = F.when(plain(3), F.coalesce(*found)) if rules.idioms else F.lit(None).cast("double")
+    idiom = F.when(near(3, "acts"), F.coalesce(*found)) if rules.idioms else F.lit(None).cast("double")
     pair = _one_of("concat(b3, ' ', b2)", rules.dampening_pairs) | _one_of("concat(b2, ' ', b1)", rules.dampening_pairs)
-    judged["_pair"] = F.when(plain(3) & pair, F.lit(fixed.BOOST_DOWN)).otherwise(0.0)
-    least = plain(1) & (F.col("l_b1") == rules.least) & ~_one_of("l_b2", rules.least_exceptions)
-    judged["_least"] = F.when(least, F.lit(fixed.NEGATION_SCALE)).otherwise(1.0)
+    least = near(1, "acts") & (F.lower("b1") == rules.least) & ~_one_of("lower(b2)", rules.least_exceptions)
 
     valence, loud = F.col("valence"), _is_caps(F.col("w")) & F.col("_mixed_caps")
-    kind_of = (F.col("l_w") == rules.kind_of[0]) & F.coalesce(F.col("l_a1") == rules.kind_of[1], F.lit(False))
-    modifier = _one_of("l_w", (*rules.intensifiers, *rules.dampeners)) | kind_of
-    judged["_v"] = F.when(~modifier, valence + F.when(loud, _away_from_zero(valence)).otherwise(0.0))
-    return hits.select("_id", *TEXT_FACTS, "_contrast", "at", "w", *[c.alias(name) for name, c in judged.items()])
+    kind_of = (F.lower("w") == rules.kind_of[0]) & F.coalesce(F.lower("a1") == rules.kind_of[1], F.lit(False))
+    modifier = _one_of("lower(w)", (*rules.intensifiers, *rules.dampeners)) | kind_of
+    kept = ("_id", *TEXT_FACTS, "_contrast", "at", "w")
+    ruled = judged.select(
+        *kept,
+        # NULL for a word that is not in the lexicon, or that only modifies others.
+        F.when(~modifier, valence + F.when(loud, _away_from_zero(valence)).otherwise(0.0)).alias("_v"),
+        steps.alias("_steps"),
+        idiom.alias("_idiom"),
+        F.when(near(3, "acts") & pair, F.lit(fixed.BOOST_DOWN)).otherwise(0.0).alias("_pair"),
+        F.when(least, F.lit(fixed.NEGATION_SCALE)).otherwise(1.0).alias("_least"),
+    )
 
+    def apply(v: Column, step: Column) -> Column:
+        """A booster pushes the valence away from zero or towards it, then a negation scales it."""
+        signed = F.when(v < 0, -step["boost"]).otherwise(step["boost"]) + F.when(step["loud"], _away_from_zero(v)).otherwise(0.0)
+        return (v + F.coalesce(signed * step["damping"], F.lit(0.0))) * step["scale"]
 
-def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """Append ``_s``, the valence of each hit after all rules about its neighbours."""
-    valued, v = _judged(hits, lexicon, rules), F.col("_v")
-    for i, damping in enumerate(fixed.DISTANCE_DAMPING, start=1):
-        boost = F.col(f"_boost{i}")
-        signed = F.when(v < 0, -boost).otherwise(boost) + F.when(F.col(f"_loud{i}"), _away_from_zero(v)).otherwise(0.0)
-        # One projection per word, so that the valence it starts from is computed once.
-        valued = valued.withColumn("_v", (v + F.coalesce(signed * damping, F.lit(0.0))) * F.col(f"_scale{i}"))
-    final = (F.coalesce(F.col("_idiom"), v) + F.col("_pair")) * F.col("_least")
-    # NULL for a word that is not in the lexicon, or that only modifies others: no valence.
-    value = F.when(v.isNull(), F.lit(0.0)).otherwise(final)
-    return valued.select("_id", *TEXT_FACTS, "_contrast", "at", "w", F.floor(value * SCALE + 0.5).cast("long").alias("_s"))
+    final = (F.coalesce("_idiom", F.aggregate("_steps", F.col("_v"), apply)) + F.col("_pair")) * F.col("_least")
+    value = F.when(F.col("_v").isNull(), F.lit(0.0)).otherwise(final)
+    return ruled.select(*kept, F.floor(value * SCALE + 0.5).cast("long").alias("_s"))
 
 
 def score_texts(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
