@@ -60,9 +60,16 @@ def make_notes(
         raise ValueError("give either a lexicon or a scorer")
     salt = kind.label + seed
     who = ["user_id", "occurrence"]
+    who_columns = [F.col(c) for c in who]
     numbered = number_equal_rows(users.select(F.col(user_key).alias("user_id")))
-    drawn = with_pick(numbered, who, salt, corpus)
-    used = corpus.records.join(drawn.select("idx").distinct(), "idx", "left_semi")
+    used = corpus.records.join(with_pick(numbered, who, salt, corpus).select("idx").distinct(), "idx", "left_semi")
+
+    # Providers are drawn while the rows are narrow, before the texts join them.
+    if providers is None:
+        treated = numbered.withColumn("provider_id", provider_pick(who_columns, "provider|" + salt))
+    else:
+        treated = assign_key(numbered, who, "provider|" + salt, providers, provider_key, "provider_id")
+    drawn = with_pick(treated, who, salt, corpus)
 
     if scorer is not None:
         scored = used.withColumn("notes_pos_sentiment", scorer(F.col("text")))
@@ -71,11 +78,6 @@ def make_notes(
         scored = used.join(scores.select("idx", note_score().alias("notes_pos_sentiment")), "idx")
 
     notes = drawn.join(scored, "idx")
-    who_columns = [F.col(c) for c in who]
-    if providers is None:
-        notes = notes.withColumn("provider_id", provider_pick(who_columns, "provider|" + salt))
-    else:
-        notes = assign_key(notes, who, "provider|" + salt, providers, provider_key, "provider_id")
     identity = random_id() if id_mode == "random" else surrogate_id([*who_columns, F.lit(salt)])
     return notes.select(
         "user_id",
