@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from wardloom.llm.best_fit_packing import best_fit_packing
 from wardloom.llm.quality_rules import quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules,
+    "op9_best_fit_packing": best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}
