@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardloom.llm.best_fit_packing import best_fit_packing
+from wardloom.llm.line_dedup import line_dedup
 from wardloom.llm.ngram_join import ngram_jaccard_join
 from wardloom.llm.quality_rules import quality_rules
 from wardloom.llm.source_mix import source_mix
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_source_mix": source_mix,
     "op6_ngram_jaccard_join": ngram_jaccard_join,
     "op9_best_fit_packing": best_fit_packing,
+    "op10_line_dedup": line_dedup,
 }
 
 ORACLE: dict[str, str] = {}
