@@ -7,13 +7,18 @@ from wardloom.llm.line_dedup import line_dedup
 from wardloom.llm.ngram_join import ngram_jaccard_join
 from wardloom.llm.quality_rules import quality_rules
 from wardloom.llm.source_mix import source_mix
+from wardloom.llm.warc_bundles import ORACLE as WARC_SQL
+from wardloom.llm.warc_bundles import warc_bundles
 
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_source_mix": source_mix,
     "op6_ngram_jaccard_join": ngram_jaccard_join,
+    "op8_warc_bundles": warc_bundles,
     "op9_best_fit_packing": best_fit_packing,
     "op10_line_dedup": line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc_bundles": WARC_SQL,
+}
