@@ -223,12 +223,12 @@ WITH p AS (
 ), d AS (
     SELECT *, first_value(page_id) OVER (PARTITION BY hex, payload_bytes ORDER BY page_id) AS first_id FROM p
 ), b AS (
-    SELECT *, list_aggregate(list_transform(range(40), i -> lpad(bin(('0x' || substr(hex, i + 1, 1))::INT), 4, '0')), 'string_agg', '') AS bits FROM d
+    SELECT *, list_aggregate([lpad(bin(('0x' || substr(hex, (i + 1)::INT, 1))::INT), 4, '0') FOR i IN range(40)], 'string_agg', '') AS bits FROM d
 )
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
-    list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-        (substr(bits, i * 5 + 1, 1)::INT * 16 + substr(bits, i * 5 + 2, 1)::INT * 8 + substr(bits, i * 5 + 3, 1)::INT * 4
-         + substr(bits, i * 5 + 4, 1)::INT * 2 + substr(bits, i * 5 + 5, 1)::INT + 1)::INT, 1)), 'string_agg', '') AS payload_digest,
+    list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (substr(bits, (i * 5)::INT + 1, 1)::INT * 16 + substr(bits, (i * 5)::INT + 2, 1)::INT * 8 + substr(bits, (i * 5)::INT + 3, 1)::INT * 4
+         + substr(bits, (i * 5)::INT + 4, 1)::INT * 2 + substr(bits, (i * 5)::INT + 5, 1)::INT + 1)::INT, 1) FOR i IN range(32)], 'string_agg', '') AS payload_digest,
     CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM b
