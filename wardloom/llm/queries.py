@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardloom.llm.best_fit_packing import best_fit_packing
+from wardloom.llm.language_id import language_id
 from wardloom.llm.line_dedup import line_dedup
 from wardloom.llm.ngram_join import ngram_jaccard_join
 from wardloom.llm.quality_rules import quality_rules
@@ -13,6 +14,7 @@ from wardloom.llm.warc_bundles import warc_bundles
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_source_mix": source_mix,
+    "op4_language_id": language_id,
     "op6_ngram_jaccard_join": ngram_jaccard_join,
     "op8_warc_bundles": warc_bundles,
     "op9_best_fit_packing": best_fit_packing,
