@@ -13,6 +13,7 @@ an empty table gives no rows; columns other than the id and the text are not loo
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,8 +29,15 @@ from wardloom.session import materialize
 
 MAX_TOKENS = 4096
 END_TOKEN = 1
-CACHED_WORDS = 300_000  # words whose ids a worker remembers; beyond that it starts anew
-CHUNK_BYTES = 4 << 20  # text handled at a time within a worker
+CACHED_WORDS = 400_000  # words whose ids a worker remembers, also between tasks; beyond that it starts anew
+CHUNK_BYTES = 1 << 20  # text handled at a time within a worker
+
+# Words of these letters only are in normal form and lower-cased alike everywhere; of these, the
+# library's model is asked piece by piece. Anything else goes through its whole pipeline.
+PLAIN_WORD = re.compile(r"[!-;=-~\u00c0-\u012f\u0131-\u017e]+")
+# How this vocabulary cuts words into pieces, and the stand-ins of byte-level models.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRINTABLE_BYTES = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -38,21 +46,44 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def _byte_stand_ins() -> list[str]:
+    """The character that stands for each byte: itself if printable, else one from 256 on, in order."""
+    rest = iter(range(256, 512))
+    return [chr(b if b in PRINTABLE_BYTES else next(rest)) for b in range(256)]
+
+
 class WordTokenizer:
     """Ids of texts, word by word: this vocabulary drops white space, so no token spans two words."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._cut = regex.compile(PIECE).findall
+        self._stand_in = _byte_stand_ins()
         self._reset()
 
     def _reset(self) -> None:
         self._known: dict[bytes, int] = {}
+        self._pieces: dict[str, list[int]] = {}
         self._ids = np.zeros(0, np.uint32)
         self._start = np.zeros(0, np.int64)
         self._length = np.zeros(0, np.int64)
 
+    def _piece(self, piece: str) -> list[int]:
+        ids = self._pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else "".join(map(self._stand_in.__getitem__, piece.encode()))
+            ids = self._pieces[piece] = [t.id for t in self._model.tokenize(spelled)]
+        return ids
+
+    def word(self, word: str) -> list[int]:
+        if PLAIN_WORD.fullmatch(word):
+            return [i for piece in self._cut(word.lower()) for i in self._piece(piece)]
+        return self._tokenizer.encode(word, add_special_tokens=False).ids
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
         if len(self._known) > CACHED_WORDS:
@@ -62,11 +93,12 @@ class WordTokenizer:
             found = text.split()
             per_text.append(len(found))
             flat += found
-        new = [w for w in dict.fromkeys(flat) if w not in known]
+        new = set(flat).difference(known)
         if new:
+            ids = []
             for w in new:
                 known[w] = len(known)
-            ids = [e.ids for e in self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+                ids.append(self.word(w.decode()))
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             starts = len(self._ids) + np.cumsum(lengths) - lengths
             self._ids = np.concatenate([self._ids, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))])
@@ -79,6 +111,16 @@ class WordTokenizer:
         return ids, np.diff(borders)
 
 
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """This process's tokenizer, with the words it has met so far."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
+
 def tokenized_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """``(key, piece, start, length, ids_crc32 [, ids])``: each document's ids and the end token, cut at ``max_tokens``."""
     path = path or vocabulary()
@@ -86,7 +128,7 @@ def tokenized_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", m
     out = f"`{key}` {source.schema[key].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = word_tokenizer(path)
         for batch in batches:
             size = np.diff(np.frombuffer(batch.column(1).cast(pa.large_binary()).buffers()[1], np.int64, len(batch) + 1, batch.column(1).offset * 8)) if len(batch) else np.zeros(0, int)
             chunk = np.cumsum(size) // CHUNK_BYTES
