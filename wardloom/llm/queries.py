@@ -8,6 +8,7 @@ from wardloom.llm.line_dedup import line_dedup
 from wardloom.llm.ngram_join import ngram_jaccard_join
 from wardloom.llm.quality_rules import quality_rules
 from wardloom.llm.source_mix import source_mix
+from wardloom.llm.toxicity import toxicity
 from wardloom.llm.warc_bundles import ORACLE as WARC_SQL
 from wardloom.llm.warc_bundles import warc_bundles
 
@@ -16,11 +17,13 @@ QUERIES = {
     "op2_source_mix": source_mix,
     "op4_language_id": language_id,
     "op6_ngram_jaccard_join": ngram_jaccard_join,
+    "op7_toxicity": toxicity,
     "op8_warc_bundles": warc_bundles,
     "op9_best_fit_packing": best_fit_packing,
     "op10_line_dedup": line_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_toxicity": toxicity,
     "op8_warc_bundles": WARC_SQL,
 }
