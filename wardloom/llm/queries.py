@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardloom.llm.best_fit_packing import best_fit_packing
+from wardloom.llm.hilbert_search import hilbert_search
 from wardloom.llm.language_id import language_id
 from wardloom.llm.line_dedup import line_dedup
 from wardloom.llm.ngram_join import ngram_jaccard_join
@@ -15,6 +16,7 @@ from wardloom.llm.warc_bundles import warc_bundles
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_source_mix": source_mix,
+    "op3_hilbert_search": hilbert_search,
     "op4_language_id": language_id,
     "op6_ngram_jaccard_join": ngram_jaccard_join,
     "op7_toxicity": toxicity,
