@@ -27,7 +27,7 @@ from wardloom.session import broadcast_if_small, materialize
 
 SIMILARITY = Fraction(4, 5)
 BUCKET_BITS = 16
-HOT_WORD = 256  # words in the prefix of more distinct lines than this are tried against leaders first
+HOT_WORD = 512  # words that end the prefix of more distinct lines than this are tried against leaders first
 
 ID = ("doc_id", "row", "line_no")
 
@@ -37,9 +37,13 @@ def row_key(docs: DataFrame) -> Column:
 
 
 def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(doc_id, row, line_no, line)`` of every line that has a word."""
-    cut = docs.select(F.col("doc_id").alias("doc_id"), row_key(docs).alias("row"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    return cut.filter(F.length(F.regexp_replace("line", SPACE, "")) > 0)
+    """``(doc_id, row, line_no, line)`` of every line, blank ones too."""
+    return docs.select(F.col("doc_id").alias("doc_id"), row_key(docs).alias("row"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
+
+
+def trimmed(line: Column) -> Column:
+    """The line from its first word to its last; empty if it has none."""
+    return F.trim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def _bucket(h: Column) -> Column:
@@ -48,7 +52,7 @@ def _bucket(h: Column) -> Column:
 
 def rarity_ranks(docs: DataFrame, text: str = "text") -> Column:
     """Array literal: for each word bucket its rank, rarest first, centred on 0. Its size is fixed."""
-    counts = docs.select(F.explode(words(F.col(text))).alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.select(F.explode(F.split(F.col(text), SPACE)).alias("w")).filter("w <> ''").groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     n = {r["bucket"]: r["n"] for r in counts.collect()}  # at most 65,536 rows
     order = sorted(range(1 << BUCKET_BITS), key=lambda b: (n.get(b, 0), b))
     rank = [0] * len(order)
@@ -58,8 +62,8 @@ def rarity_ranks(docs: DataFrame, text: str = "text") -> Column:
 
 
 def word_keys(line: Column, ranks: Column) -> Column:
-    """The line's distinct words as sorted keys, rarest first."""
-    hashes = F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
+    """The distinct words of a trimmed line as sorted keys, rarest first."""
+    hashes = F.array_distinct(F.transform(F.split(line, SPACE), lambda w: F.xxhash64(w)))
     low = (1 << (64 - BUCKET_BITS)) - 1
     return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), 64 - BUCKET_BITS).bitwiseOR(h.bitwiseAND(low))))
 
@@ -70,76 +74,69 @@ def _parity(keys: str) -> Column:
 
 
 def _possible(similarity: Fraction, positions: bool) -> Column:
-    """Filters on a pair of lines ``l`` (later) and ``e`` (earlier): order, length, position, bitmap."""
+    """Filters on a pair of lines ``l`` and ``e``: length, bitmap and, at the first shared word, position."""
     p, q = similarity.numerator, similarity.denominator
     need = f"(((l.n + e.n) * {p} + {p + q - 1}) div {p + q})"
-    place = f"and least(l.n - l.at, e.n - e.at) >= {need}" if positions else ""
-    return F.expr(
-        f"least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p} and bit_count(l.parity ^ e.parity) <= l.n + e.n - 2 * {need} {place}"
-        " and struct(l.doc_id, l.row, l.line_no) > struct(e.doc_id, e.row, e.line_no)"
-    )
-
-
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(*[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "le" for c in ID]).distinct()
+    place = f" and least(l.n - l.at, e.n - e.at) >= {need}" if positions else ""
+    return F.expr(f"least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p} and bit_count(l.parity ^ e.parity) <= l.n + e.n - 2 * {need}{place}")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: Fraction) -> DataFrame:
-    """The later lines of those pairs whose word sets are as similar as asked for."""
-    pairs = materialize(pairs, "line-pairs")
-    sides = [pairs.select(*[F.col(f"{side}_{c}").alias(c) for c in ID]) for side in "le"]
-    wanted = materialize(sides[0].union(sides[1]).distinct(), "line-ids")
-    known = wanted.select(*[F.col(c).alias(f"w_{c}") for c in ID])
+def _gone(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, similarity: Fraction) -> DataFrame:
+    """``(line)`` numbers of the later lines of those of ``pairs (a, b)`` that are as similar as asked for."""
+    pairs = materialize(pairs.distinct(), "line-pairs")
+    wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
+    known = distinct.select("line", *ID).join(broadcast_if_small(materialize(wanted, "line-ids")), "line", "left_semi")
+    known = materialize(known.select("line", F.struct(*ID).alias("id")), "line-ids")
     lines = lines_of(docs, text)
-    same = (lines["row"] == known["w_row"]) & (lines["line_no"] == known["w_line_no"]) & lines["doc_id"].eqNullSafe(known["w_doc_id"])
-    sets = lines.join(broadcast_if_small(known), same).dropDuplicates(list(ID))
-    sets = materialize(sets.select(*ID, F.array_distinct(words(F.col("line"))).alias("words")), "line-words")
-    for side in "le":
-        own = sets.select(*[F.col(c).alias(f"s_{c}") for c in ID], F.col("words").alias(f"{side}_words"))
-        pairs = pairs.join(own, (F.col(f"{side}_row") == F.col("s_row")) & (F.col(f"{side}_line_no") == F.col("s_line_no")) & F.col(f"{side}_doc_id").eqNullSafe(F.col("s_doc_id")))
-        pairs = pairs.drop(*[f"s_{c}" for c in ID])
-    shared, p, q = F.size(F.array_intersect("l_words", "e_words")), similarity.numerator, similarity.denominator
-    alike = pairs.filter(shared * (p + q) >= (F.size("l_words") + F.size("e_words")) * p)
-    return alike.select(*[F.col(f"l_{c}").alias(c) for c in ID]).distinct()
-
-
-def _without(lines: DataFrame, gone: DataFrame) -> DataFrame:
-    out = gone.select(*[F.col(c).alias(f"g_{c}") for c in ID])
-    same = (lines["row"] == out["g_row"]) & (lines["line_no"] == out["g_line_no"]) & lines["doc_id"].eqNullSafe(out["g_doc_id"])
-    return lines.join(broadcast_if_small(out), same, "left_anti")
+    same = (lines["row"] == F.col("id.row")) & (lines["line_no"] == F.col("id.line_no")) & lines["doc_id"].eqNullSafe(F.col("id.doc_id"))
+    found = lines.withColumnRenamed("line", "body").join(broadcast_if_small(known), same).dropDuplicates(["line"])
+    sets = materialize(found.select("line", "id", F.array_distinct(words(F.col("body"))).alias("words")), "line-words")
+    a, b = (sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns]) for side in "ab")
+    both = pairs.join(a, F.col("a") == F.col("a_line")).join(b, F.col("b") == F.col("b_line"))
+    shared, p, q = F.size(F.array_intersect("a_words", "b_words")), similarity.numerator, similarity.denominator
+    alike = both.filter(shared * (p + q) >= (F.size("a_words") + F.size("b_words")) * p)
+    return materialize(alike.select(F.when(F.col("a_id") > F.col("b_id"), F.col("a")).otherwise(F.col("b")).alias("line")).distinct(), "gone-lines")
 
 
 def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
     """``(doc_id, row, line_no)`` of the lines that stay: those without a similar earlier line."""
     p, q = similarity.numerator, similarity.denominator
     ranks = rarity_ranks(docs, text)
-    keyed = lines_of(docs, text).select(*ID, word_keys(F.col("line"), ranks).alias("keys"))
+    lines = lines_of(docs, text).select(*ID, trimmed(F.col("line")).alias("line")).filter("line <> ''")
+    keyed = lines.select(*ID, word_keys(F.col("line"), ranks).alias("keys"))
     keyed = keyed.select(*ID, F.size("keys").alias("n"), F.xxhash64("keys").alias("set_hash"), _parity("keys").alias("parity"), F.expr(f"slice(keys, 1, size(keys) - (size(keys) * {p} + {q - 1}) div {q} + 1)").alias("prefix"))
     # Lines with equal sets: the earliest stands for all of them.
     distinct = keyed.groupBy("set_hash", "n", "parity").agg(F.min(F.struct(*ID)).alias("id"), F.first("prefix").alias("prefix"))
-    distinct = materialize(distinct.select("id.*", "n", "parity", "prefix"), "lines")
+    distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("line"), "id.*", "n", "parity", "prefix"), "lines")
 
-    prefixes = distinct.select(*ID, "n", "parity", F.posexplode("prefix").alias("at", "word"))
-    hot = prefixes.groupBy("word").agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > HOT_WORD).select("word")
+    # A group of near copies nearly always shares the last word of its prefixes.
+    hot = distinct.groupBy(F.element_at("prefix", -1).alias("word")).agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > HOT_WORD).select("word")
     hot = materialize(hot, "hot-words")
     gone = None
     if not hot.isEmpty():
-        heads = materialize(prefixes.join(broadcast_if_small(hot), "word", "left_semi"), "hot-lines")
-        line = F.struct(*ID, "n", "parity")
-        by_size = heads.groupBy("word", "n").agg(F.min(line).alias("e"))
-        by_word = heads.groupBy("word").agg(F.min(line).alias("e"))
-        leaders = [by_size.select("word", F.col("n").alias("size"), "e.*").alias("e"), by_word.select("word", "e.*").alias("e")]
+        heads = distinct.select("line", F.struct(*ID).alias("id"), "n", "parity", F.explode("prefix").alias("word")).join(broadcast_if_small(hot), "word", "left_semi")
+        heads = materialize(heads, "hot-lines")
+        leader = F.struct("id", "line", "n", "parity")
+        by_size = heads.groupBy("word", F.col("n").alias("size")).agg(F.min(leader).alias("e")).select("word", "size", "e.*")
+        by_word = heads.groupBy("word").agg(F.min(leader).alias("e")).select("word", "e.*")
         tried = [
-            _pairs(heads.alias("l").join(leader, on).filter(_possible(similarity, positions=False)))
-            for leader, on in zip(leaders, (F.expr("l.word = e.word and l.n = e.size"), F.expr("l.word = e.word")), strict=True)
+            heads.alias("l").join(found.alias("e"), F.expr(on)).filter(_possible(similarity, positions=False) & (F.col("l.line") != F.col("e.line"))).select(F.col("l.line").alias("a"), F.col("e.line").alias("b"))
+            for found, on in ((by_size, "l.word = e.word and l.n = e.size"), (by_word, "l.word = e.word"))
         ]
-        gone = materialize(_verified(tried[0].union(tried[1]).distinct(), docs, text, similarity), "gone-lines")
-
-    later = prefixes if gone is None else _without(prefixes, gone)
-    pairs = _pairs(later.alias("l").join(prefixes.alias("e"), (F.col("l.word") == F.col("e.word")) & _possible(similarity, positions=True)))
-    also = _verified(pairs, docs, text, similarity)
-    gone = materialize(also if gone is None else gone.union(also).distinct(), "gone-lines")
-    return _without(distinct.select(*ID), gone)
+        gone = _gone(tried[0].union(tried[1]), distinct, docs, text, similarity)
+
+    asked = distinct.select("line", "n", "parity", "prefix", F.lit(True).alias("open"))
+    if gone is not None:
+        flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
+        asked = asked.drop("open").join(flagged, "line", "left").select("line", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
+    prefixes = asked.select("line", "n", "parity", "open", F.posexplode("prefix").alias("at", "word"))
+    # Both sides are the same rows, so they are shuffled once; a pair of lines already settled is of no use.
+    pairs = prefixes.alias("l").join(prefixes.alias("e"), F.col("l.word") == F.col("e.word")).filter(
+        (F.col("l.line") < F.col("e.line")) & (F.col("l.open") | F.col("e.open")) & _possible(similarity, positions=True)
+    )
+    also = _gone(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), distinct, docs, text, similarity)
+    gone = also if gone is None else gone.union(also).distinct()
+    return distinct.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
@@ -149,7 +146,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     stay = materialize(stay.select(F.col("row").alias("_ld_row"), "_ld_stay"), "first-lines")
     cut = docs.select("*", row_key(docs).alias("_ld_row"), F.split(F.col(text), "\n", -1).alias("_ld_lines"))
     joined = cut.join(broadcast_if_small(stay), "_ld_row", "left")
-    blank = F.filter(F.transform("_ld_lines", lambda s, i: F.when(F.length(F.regexp_replace(s, SPACE, "")) == 0, i)), lambda i: i.isNotNull())
+    blank = F.filter(F.transform("_ld_lines", lambda s, i: F.when(trimmed(s) == "", i)), lambda i: i.isNotNull())
     joined = joined.select(*[F.col(f"`{c}`") for c in names], "_ld_lines", F.sort_array(F.concat(F.coalesce("_ld_stay", F.array().cast("array<int>")), blank)).alias("_ld_stay"))
     kept = F.when(F.col(text).isNotNull(), F.array_join(F.transform("_ld_stay", lambda i: F.get("_ld_lines", i)), "\n"))
     removed = F.coalesce(F.size("_ld_lines") - F.size("_ld_stay"), F.lit(0))
