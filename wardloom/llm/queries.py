@@ -5,6 +5,7 @@ from __future__ import annotations
 from wardloom.llm.best_fit_packing import best_fit_packing
 from wardloom.llm.hilbert_search import hilbert_search
 from wardloom.llm.language_id import language_id
+from wardloom.llm.license_scan import license_scan
 from wardloom.llm.line_dedup import line_dedup
 from wardloom.llm.ngram_join import ngram_jaccard_join
 from wardloom.llm.quality_rules import quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_source_mix": source_mix,
     "op3_hilbert_search": hilbert_search,
     "op4_language_id": language_id,
+    "op5_license_scan": license_scan,
     "op6_ngram_jaccard_join": ngram_jaccard_join,
     "op7_toxicity": toxicity,
     "op8_warc_bundles": warc_bundles,
