@@ -86,3 +86,20 @@ def test_repeated_tokens_are_refused(spark, lexicon):
 def test_read_lexicon(spark, tmp_path):
     (tmp_path / "lexicon.txt").write_text("good\t1.9\t0.9\t[2, 1]\n:)\t2.0\t1.1\t[1]\ngood\t1.8\t0.9\t[2]\n\n")
     assert {r.token: r.valence for r in read_lexicon(spark, str(tmp_path / "lexicon.txt")).collect()} == {"good": 1.8, ":)": 2.0}
+
+
+@pytest.mark.parametrize("ids", [(1, 1), (None, 2), (None, None)])
+def test_repeated_and_null_ids_are_refused(spark, lexicon, ids):
+    df = spark.createDataFrame(list(zip(ids, ("good", "bad"), strict=True)), "id int, text string")
+    with pytest.raises(Exception, match="repeated or NULL id"):
+        score_texts(df, "id", "text", lexicon).collect()
+    empty = spark.createDataFrame(list(zip(ids, (None, ""), strict=True)), "id int, text string")
+    with pytest.raises(Exception, match="repeated or NULL id"):
+        score_texts(empty, "id", "text", lexicon).collect()
+
+
+def test_no_token_row_carries_an_array(spark, lexicon):
+    df = spark.createDataFrame([(1, "good day")], "id int, text string")
+    plan = score_texts(df, "id", "text", lexicon)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Project" in line and "AS w" in line]
+    assert joins and not any("_words" in line for line in joins)

@@ -63,6 +63,24 @@ def test_lines_of_a_file_in_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_splits_may_change_between_build_and_read(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(5000)]
+    write(tmp_path / "big.txt", "\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        corpus = corpus_of_folder(spark, str(tmp_path), "\n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "70000")
+        assert corpus.size == len(lines) and records(corpus) == lines
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_folder_order_is_that_of_the_names(spark, tmp_path):
+    for name in ("a b.txt", "a!b.txt", "a+b.txt", "a%b.txt"):
+        write(tmp_path / name, name)
+    assert records(corpus_of_folder(spark, str(tmp_path), "\n")) == sorted(["a b.txt", "a!b.txt", "a+b.txt", "a%b.txt"])
+
+
 def test_dash_folder(spark, tmp_path):
     text = f"a\nb{DISCHARGE_DELIMITER}{DISCHARGE_DELIMITER}c-{DISCHARGE_DELIMITER}---d{DISCHARGE_DELIMITER}"
     write(tmp_path / "x.txt", text)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.text import NEWLINE, cut_records
 from wardloom.operators.numbering import running_offsets
-from wardloom.session import broadcast_if_small
+from wardloom.session import broadcast_if_small, materialize
 from wardloom.sources.text import SUFFIX, read_text_files, read_text_lines
 
 
@@ -57,7 +57,8 @@ def corpus_of_folder(spark: SparkSession, folder: str, delimiter: str, suffix: s
     if delimiter != NEWLINE:
         return corpus_of_texts(read_text_files(spark, folder, suffix), "file", "text", delimiter).require_records()
 
-    lines = read_text_lines(spark, folder, suffix)
+    # Written once: read again, the files could be split, and so numbered, in another way.
+    lines = materialize(read_text_lines(spark, folder, suffix), "lines")
     blocks = ["file", "block"]
     counts = lines.groupBy(*blocks).agg(
         F.count(F.lit(1)).alias("n"), F.min("line_no").alias("_first"), F.lit(1).cast("long").alias("_texts")

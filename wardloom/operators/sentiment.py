@@ -113,24 +113,24 @@ def _chunked(texts: DataFrame, id_col: str, text_col: str, rules: Rules) -> Data
 def _hits(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, rules: Rules) -> DataFrame:
     """One row per token that is in the lexicon (and for the first token of every text).
 
-    Neighbours are looked up only now, after the others are gone; they are ``b1 b2 b3`` before and
-    ``a1 a2`` after the token ``w``.
+    A token is exploded with its neighbours, ``b1 b2 b3`` before and ``a1 a2`` after the token ``w``,
+    so that no row of the join carries an array of words.
     """
     last = F.least(F.col("_start") + CHUNK, F.col("_n")) - 1
-    tokens = _chunked(texts, id_col, text_col, rules).select(
-        "_id", *TEXT_FACTS, "_mixed_caps", "_contrast", "_words", "_first",
-        F.explode_outer(F.sequence(F.col("_start"), last)).alias("at"),
-    )
 
-    def word(shift: int) -> Column:
-        return F.get("_words", F.col("at") - F.col("_first") + shift)
+    def token(at: Column) -> Column:
+        def word(shift: int) -> Column:
+            return F.get("_words", at - F.col("_first") + shift)
+
+        near = [word(-i).alias(f"b{i}") for i in range(1, BEFORE + 1)] + [word(i).alias(f"a{i}") for i in range(1, AFTER + 1)]
+        return F.struct(at.alias("at"), word(0).alias("w"), *near)
 
-    found = tokens.withColumn("w", word(0)).join(lexicon, F.lower("w") == F.col("token"), "left")
-    return found.filter(F.col("valence").isNotNull() | F.coalesce(F.col("at") == 0, F.lit(True))).select(
-        "_id", *TEXT_FACTS, "_mixed_caps", "_contrast", "at", "w", "valence",
-        *[word(-i).alias(f"b{i}") for i in range(1, BEFORE + 1)],
-        *[word(i).alias(f"a{i}") for i in range(1, AFTER + 1)],
+    tokens = _chunked(texts, id_col, text_col, rules).select(
+        "_id", *TEXT_FACTS, "_mixed_caps", "_contrast", F.explode_outer(F.transform(F.sequence(F.col("_start"), last), token)).alias("_token"),
     )
+    tokens = tokens.select("_id", *TEXT_FACTS, "_mixed_caps", "_contrast", "_token.*")
+    found = tokens.join(lexicon, F.lower("w") == F.col("token"), "left")
+    return found.filter(F.col("valence").isNotNull() | F.coalesce(F.col("at") == 0, F.lit(True))).drop("token")
 
 
 def _one_of(expression: str, choices) -> Column:
@@ -150,7 +150,7 @@ def _idioms(rules: Rules) -> Column:
 
 
 def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """Append ``_s``, the valence of each hit after all rules about its neighbours."""
+    """Append ``_s``, the valence of each word of a text after all rules about the neighbours of its first occurrence."""
     for i in range(1, BEFORE + 1):
         known = lexicon.select(F.col("token").alias("_token"))  # the same three times: broadcast once
         hits = hits.join(known, F.lower(f"b{i}") == F.col("_token"), "left").withColumnRenamed("_token", f"_known{i}")
@@ -209,7 +209,7 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
     valence, loud = F.col("valence"), _is_caps(F.col("w")) & F.col("_mixed_caps")
     kind_of = (F.lower("w") == rules.kind_of[0]) & F.coalesce(F.lower("a1") == rules.kind_of[1], F.lit(False))
     modifier = _one_of("lower(w)", (*rules.intensifiers, *rules.dampeners)) | kind_of
-    kept = ("_id", *TEXT_FACTS, "_contrast", "at", "w")
+    kept = ("_id", *TEXT_FACTS, "w", "_times", "_halves", "_rows")
     ruled = judged.select(
         *kept,
         # NULL for a word that is not in the lexicon, or that only modifies others.
@@ -231,13 +231,14 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
 
 
 def score_texts(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``(id_col, neg, neu, pos, compound)`` for every row of ``texts``; ``id_col`` must be unique.
+    """``(id_col, neg, neu, pos, compound)`` for every row of ``texts``.
 
-    A text without tokens scores 0 throughout; a NULL text scores NULL. ``lexicon`` is
+    ``id_col`` must be unique and not NULL: a repeated or missing id fails the job, since its texts
+    could not be told apart. A text without tokens scores 0 throughout; a NULL text scores NULL. ``lexicon`` is
     ``(token, valence)`` with lower-case, unique tokens.
     """
     lexicon = broadcast_if_small(lexicon.select("token", "valence"), unique="token")
-    hits = _valued(_hits(texts, id_col, text_col, lexicon, rules), lexicon, rules)
+    hits = _hits(texts, id_col, text_col, lexicon, rules)
 
     # Weight of each occurrence in halves: 1 before the contrast word, 3 after it, 2 otherwise.
     here = F.col("at") + 1
@@ -246,13 +247,17 @@ def score_texts(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame
         .when((F.col("_contrast") > 0) & (here > F.col("_contrast")), int(2 * fixed.AFTER_CONTRAST))
         .otherwise(2)
     )
-    # A word that occurs again counts with the valence of its first occurrence.
-    per_word = hits.withColumn("_halves", halves).groupBy("_id", "w").agg(
-        F.min_by("_s", "at").alias("_s"),
+    # A word that occurs again counts with the valence of its first occurrence, so only that one is
+    # valued. Every text has one row for its first token, or one without a token: more are another text.
+    near = [f"b{i}" for i in range(1, BEFORE + 1)] + [f"a{i}" for i in range(1, AFTER + 1)]
+    words = hits.groupBy("_id", "w").agg(
+        F.min_by(F.struct("valence", *near), "at").alias("_first"),
         F.count(F.lit(1)).alias("_times"),
-        F.sum("_halves").alias("_halves"),
-        *[F.max(c).alias(c) for c in TEXT_FACTS],
+        F.sum(halves).alias("_halves"),
+        F.sum(F.when(F.coalesce(F.col("at") == 0, F.lit(True)), 1).otherwise(0)).alias("_rows"),
+        *[F.max(c).alias(c) for c in (*TEXT_FACTS, "_mixed_caps")],
     )
+    per_word = _valued(words.select("_id", *TEXT_FACTS, "_mixed_caps", "w", "_times", "_halves", "_rows", "_first.*"), lexicon, rules)
     unit = 2 * int(SCALE)  # everything below is in halves of the scaled unit
     one, weighted = F.col("_times") * unit, F.col("_s") * F.col("_halves")
     per_text = per_word.groupBy("_id").agg(
@@ -260,9 +265,12 @@ def score_texts(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame
         F.sum(F.when(F.col("_s") > 0, weighted + one).otherwise(0)).alias("_pos"),
         F.sum(F.when(F.col("_s") < 0, weighted - one).otherwise(0)).alias("_neg"),
         F.sum(F.when(F.col("_s") != 0, F.col("_times")).otherwise(0)).alias("_moved"),
+        F.sum("_rows").alias("_rows"),
         *[F.max(c).alias(c) for c in TEXT_FACTS],
     )
-    return _components(per_text, unit).withColumnRenamed("_id", id_col)
+    unclear = F.col("_id").isNull() | (F.col("_rows") > 1)
+    told_apart = F.when(unclear, F.raise_error(F.concat(F.lit("repeated or NULL id of a text: "), F.coalesce(F.col("_id").cast("string"), F.lit("NULL"))))).otherwise(F.col("_n"))
+    return _components(per_text.withColumn("_n", told_apart.cast(per_text.schema["_n"].dataType)), unit).withColumnRenamed("_id", id_col)
 
 
 def _rounded(value: Column, digits: int) -> Column:

@@ -26,6 +26,7 @@ from wardloom.session import fresh_dir
 from wardloom.sources.versions import VersionLog
 
 LOAD = "load"
+PART = "part_of_"  # folders of a text partition column are named by a copy of it, since "" and NULL share a folder name
 
 
 @dataclass(frozen=True)
@@ -58,12 +59,12 @@ class SnapshotTable:
     def rows(self) -> int:
         return self._state()[1]["rows"]
 
-    def applied(self, stream: str) -> int:
-        """Number of the last batch of ``stream`` that was committed, or -1."""
-        return self._state()[1]["applied"].get(stream, -1)
+    def applied(self, stream: str) -> tuple[str | None, int]:
+        """Checkpoint id and number of the last batch of ``stream`` that was committed, or ``(None, -1)``."""
+        return tuple(self._state()[1]["applied"].get(stream, (None, -1)))
 
     def read(self, version: int | None = None) -> DataFrame:
-        state = self._log.at(version) if version else self._state()[1]
+        state = self._state()[1] if version is None else self._log.at(version)
         schema = T.StructType.fromJson(state["schema"])
         return self._scan(state["dirs"], schema).select(*schema.names)
 
@@ -87,7 +88,7 @@ class SnapshotTable:
             )
         return self
 
-    def append(self, df: DataFrame, applied: dict[str, int] | None = None) -> LoadCounts:
+    def append(self, df: DataFrame, applied: dict[str, list] | None = None) -> LoadCounts:
         number, state = self._state()
         dirs, rows = self._write(self._aligned(df, state), state, uuid.uuid4().hex)
         return self._commit(number, state, state["dirs"] + dirs, rows, 0, applied)
@@ -98,7 +99,7 @@ class SnapshotTable:
         keys: Sequence[str],
         on_duplicate: str = "keep_all",
         order_by: str | None = None,
-        applied: dict[str, int] | None = None,
+        applied: dict[str, list] | None = None,
     ) -> LoadCounts:
         """Replace the rows whose key occurs in ``df`` by the rows of ``df``.
 
@@ -157,6 +158,9 @@ class SnapshotTable:
 
     def _write(self, df: DataFrame, state: dict, load: str, count: bool = True) -> tuple[list[str], int]:
         path, parts = f"{self.root}/data/{LOAD}={load}", state["partition_by"]
+        texts = [c for c in parts if isinstance(df.schema[c].dataType, T.StringType)]
+        df = df.withColumns({f"{PART}{c}": F.concat(F.lit("."), F.col(c)) for c in texts})
+        parts = [f"{PART}{c}" if c in texts else c for c in parts]
         if parts:
             # Gathers each partition into few files; adaptive execution splits the hot ones.
             df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
@@ -206,7 +210,7 @@ class SnapshotTable:
         )
         return {unquote(row["_dir"]): row["count"] for row in matched.collect()}
 
-    def _commit(self, number: int, state: dict, dirs: list[str], rows_in: int, deleted: int, applied: dict[str, int] | None) -> LoadCounts:
+    def _commit(self, number: int, state: dict, dirs: list[str], rows_in: int, deleted: int, applied: dict[str, list] | None) -> LoadCounts:
         rows = state["rows"] + rows_in - deleted
         self._log.commit(number + 1, {**state, "dirs": dirs, "rows": rows, "applied": {**state["applied"], **(applied or {})}})
         return LoadCounts(rows_in, deleted, rows)

@@ -36,22 +36,23 @@ class Bookmark:
         content = self._log.latest()[1]
         return content["mark"] if content else None
 
-    def read_new(self, source: DataFrame, key: str, ordered: bool = False) -> PendingRead:
-        """Rows with ``key`` above the mark, up to the highest key present now.
-
-        The upper bound is fixed before reading, so rows that arrive during the load wait for the
-        next run. Both bounds are plain comparisons that reach the scan. The first run also takes
-        rows whose key is NULL. ``ordered`` sorts by the key, ascending.
+    def read_new(self, source: DataFrame, key: str, ordered: bool = False, null_keys: str = "error") -> PendingRead:
+        """Rows with ``key`` above the mark, up to the highest such key present now.
+
+        The mark only moves forward: the upper bound is the highest key among rows above it, and
+        without such rows there is nothing to commit. The bound is fixed before reading, so rows that
+        arrive during the load wait for the next run. Both bounds are plain comparisons that reach
+        the scan. Rows with a NULL key have no place in the order: they are an error, or with
+        ``null_keys="always"`` part of every run. ``ordered`` sorts by the key, ascending.
         """
+        if null_keys not in ("error", "always"):
+            raise ValueError("null_keys is error or always")
         number, content = self._log.latest()
-        key_type = source.schema[key].dataType
-        upper = source.agg(F.max(key).cast("string")).first()[0]
-        if content:
-            rows = source.filter(F.col(key) > F.lit(content["mark"]).cast(key_type))
-            if upper is not None:
-                rows = rows.filter(F.col(key) <= F.lit(upper).cast(key_type))
-        else:
-            rows = source if upper is None else source.filter(
-                (F.col(key) <= F.lit(upper).cast(key_type)) | F.col(key).isNull()
-            )
+        key_type, column = source.schema[key].dataType, F.col(key)
+        above = column > F.lit(content["mark"]).cast(key_type) if content else column.isNotNull()
+        upper = source.filter(above).agg(F.max(key).cast("string")).first()[0]
+        if null_keys == "error" and not source.filter(column.isNull()).isEmpty():
+            raise ValueError(f"rows without a {key} would never be read")
+        wanted = F.lit(False) if upper is None else above & (column <= F.lit(upper).cast(key_type))
+        rows = source.filter(wanted | column.isNull() if null_keys == "always" else wanted)
         return PendingRead(rows.orderBy(key) if ordered else rows, upper, self._log, number)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SUFFIX = ".txt"  # fixed value: only files with this ending (case counts) hold records
 
 
+def _path() -> Column:
+    """The file's path as it is listed; the metadata column has it URL-encoded, in another order."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def with_suffix(df: DataFrame, column: str, suffix: str = SUFFIX) -> DataFrame:
     """Keep rows whose object name ends with ``suffix``."""
     return df.filter(F.col(column).endswith(suffix))
@@ -19,7 +24,7 @@ def read_text_files(spark: SparkSession, folder: str, suffix: str = SUFFIX) -> D
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
         .text(folder, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+        .select(_path().alias("file"), F.col("value").alias("text"))
     )
 
 
@@ -27,7 +32,8 @@ def read_text_lines(spark: SparkSession, folder: str, suffix: str = SUFFIX) -> D
     """``(file, block, line_no, text)``: the non-empty lines of matching files, for files of any size.
 
     Large files are read in several splits; ``block`` is the split's start and ``line_no`` rises
-    within it, so ``(file, block, line_no)`` is the order in the folder. Only ``\\n`` ends a line.
+    within it, so ``(file, block, line_no)`` is the order in the folder. Only ``\\n`` ends a line. Where the
+    splits fall is decided each time the rows are read: numbers of two reads do not fit together.
     """
     return (
         spark.read.option("recursiveFileLookup", "true")
@@ -35,7 +41,7 @@ def read_text_lines(spark: SparkSession, folder: str, suffix: str = SUFFIX) -> D
         .text(folder, lineSep="\n")
         .filter(F.col("value") != "")
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            _path().alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line_no"),
             F.col("value").alias("text"),

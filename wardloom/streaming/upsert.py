@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardloom.sinks.snapshot import SnapshotTable
 
+STREAM_ID = "sql.streaming.queryId"  # set by Spark while a batch runs; the same for every run of a checkpoint
+
 
 def stream_upsert(
     source: DataFrame,
@@ -23,13 +25,17 @@ def stream_upsert(
     """Start upserting every micro-batch of ``source`` into ``table``.
 
     ``checkpoint`` (one per stream, in shared storage) remembers what was read. The table records
-    the batch number in the same commit as the rows, so a batch that is replayed after a failure
-    is skipped. The default trigger takes all that is there, then stops.
+    the id of the stream's checkpoint and the batch number in the same commit as the rows, so a
+    batch that is replayed after a failure is skipped. A new checkpoint has a new id: its batches
+    are all loaded, also those that an earlier checkpoint had loaded, which for an upsert changes
+    nothing. The default trigger takes all that is there, then stops.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if table.applied(name) < batch_id:
-            table.upsert(batch, keys, on_duplicate, order_by, applied={name: batch_id})
+        stream = batch.sparkSession.sparkContext.getLocalProperty(STREAM_ID) or checkpoint
+        seen, last = table.applied(name)
+        if seen != stream or last < batch_id:
+            table.upsert(batch, keys, on_duplicate, order_by, applied={name: [stream, batch_id]})
 
     return (
         source.writeStream.queryName(name)
