@@ -7,9 +7,10 @@ of the rarest words is joined; length, position and a parity bitmap of the set r
 pairs inside the join, and the rest are verified on their full word sets.
 
 A line goes if an earlier line, in order of ``(doc_id, row, line number)``, has Jaccard similarity at
-or above the threshold; ``row`` is a hash of the document's columns. It is enough to find one such line, so words shared by very many
-lines are first tried against the earliest line that has them, and only lines that this leaves
-open join all earlier lines: a large group of near copies does not become all its pairs.
+or above the threshold; ``row`` is a hash of the document's columns. It is enough to find one such
+line, so every line is first tried against the earliest line of its size that shares one of the
+last words of its prefix. Pairs of which this leaves neither line open are not made at all: a
+large group of near copies does not become all its pairs.
 
 Defined results: NULL texts stay NULL, blank lines always stay, rows equal in every column are one
 document and keep the same lines; a text that loses all its lines becomes empty.
@@ -27,7 +28,7 @@ from wardloom.session import broadcast_if_small, materialize
 
 SIMILARITY = Fraction(4, 5)
 BUCKET_BITS = 16
-HOT_WORD = 512  # words that end the prefix of more distinct lines than this are tried against leaders first
+HEAD_WORDS = 2  # last words of a prefix by which a line looks for the leader of its near copies
 
 ID = ("doc_id", "row", "line_no")
 
@@ -109,33 +110,22 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     distinct = keyed.groupBy("set_hash", "n", "parity").agg(F.min(F.struct(*ID)).alias("id"), F.first("prefix").alias("prefix"))
     distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("line"), "id.*", "n", "parity", "prefix"), "lines")
 
-    # A group of near copies nearly always shares the last word of its prefixes.
-    hot = distinct.groupBy(F.element_at("prefix", -1).alias("word")).agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > HOT_WORD).select("word")
-    hot = materialize(hot, "hot-words")
-    gone = None
-    if not hot.isEmpty():
-        heads = distinct.select("line", F.struct(*ID).alias("id"), "n", "parity", F.explode("prefix").alias("word")).join(broadcast_if_small(hot), "word", "left_semi")
-        heads = materialize(heads, "hot-lines")
-        leader = F.struct("id", "line", "n", "parity")
-        by_size = heads.groupBy("word", F.col("n").alias("size")).agg(F.min(leader).alias("e")).select("word", "size", "e.*")
-        by_word = heads.groupBy("word").agg(F.min(leader).alias("e")).select("word", "e.*")
-        tried = [
-            heads.alias("l").join(found.alias("e"), F.expr(on)).filter(_possible(similarity, positions=False) & (F.col("l.line") != F.col("e.line"))).select(F.col("l.line").alias("a"), F.col("e.line").alias("b"))
-            for found, on in ((by_size, "l.word = e.word and l.n = e.size"), (by_word, "l.word = e.word"))
-        ]
-        gone = _gone(tried[0].union(tried[1]), distinct, docs, text, similarity)
-
-    asked = distinct.select("line", "n", "parity", "prefix", F.lit(True).alias("open"))
-    if gone is not None:
-        flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
-        asked = asked.drop("open").join(flagged, "line", "left").select("line", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
+    # Near copies nearly always share one of the last words of their prefixes, and many their size.
+    heads = distinct.select("line", F.struct(*ID).alias("id"), "n", "parity", F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(HEAD_WORDS)), HEAD_WORDS)).alias("word"))
+    leaders = heads.groupBy("word", "n").agg(F.min(F.struct("id", "line", "parity")).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+    leaders = leaders.select("word", "n", "e.line", "e.parity")
+    tried = heads.select("line", "n", "parity", "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.n = e.n and l.line <> e.line")).filter(_possible(similarity, positions=False))
+    gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), distinct, docs, text, similarity)
+
+    flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
+    asked = distinct.select("line", "n", "parity", "prefix").join(flagged, "line", "left").select("line", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
     prefixes = asked.select("line", "n", "parity", "open", F.posexplode("prefix").alias("at", "word"))
     # Both sides are the same rows, so they are shuffled once; a pair of lines already settled is of no use.
     pairs = prefixes.alias("l").join(prefixes.alias("e"), F.col("l.word") == F.col("e.word")).filter(
         (F.col("l.line") < F.col("e.line")) & (F.col("l.open") | F.col("e.open")) & _possible(similarity, positions=True)
     )
     also = _gone(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), distinct, docs, text, similarity)
-    gone = also if gone is None else gone.union(also).distinct()
+    gone = gone.union(also).distinct()
     return distinct.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
 
 
