@@ -28,6 +28,5 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op7_toxicity": toxicity,
     "op8_warc_bundles": WARC_SQL,
 }
