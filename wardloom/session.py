@@ -57,15 +57,27 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage so that later plans see the same rows even after lost executors, and gives
-    the optimizer true file sizes to choose joins by.
+    the optimizer true file sizes to choose joins by. What was written does not need its shuffles
+    again, so their files are given free as soon as the write ends.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
