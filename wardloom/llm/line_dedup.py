@@ -1,7 +1,8 @@
 """Line dedup: an exact set-similarity join over the lines of a corpus, with built-in functions only.
 
-A line is the set of its words. Words are ordered by rarity: their hashes fall into 65,536 buckets,
-whose word counts over the whole corpus rank the buckets; a word's key is its bucket's rank
+A line is the set of its words, held as 64-bit hashes, which are written once: counts, prefixes and
+verification read them and never the texts again. Words are ordered by rarity: their hashes fall into
+2^20 buckets, whose line counts over the whole corpus give each a class, and a word's key is that class
 followed by the rest of its hash. Lines with equal sets collapse first. Of the others only a prefix
 of the rarest words is joined; length, position and a parity bitmap of the set rule out nearly all
 pairs inside the join, and the rest are verified on their full word sets.
@@ -23,11 +24,13 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm.common import SPACE, table, words
+from wardloom.llm.common import SPACE, table
 from wardloom.session import broadcast_if_small, materialize
 
 SIMILARITY = Fraction(4, 5)
-BUCKET_BITS = 16
+BUCKET_BITS = 20
+CLASSES_PER_DOUBLING = 4  # rarity classes of word buckets
+CLASS_BITS = 8
 HEAD_WORDS = 2  # last words of a prefix by which a line looks for the leader of its near copies
 
 ID = ("doc_id", "row", "line_no")
@@ -51,22 +54,27 @@ def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
 
 
-def rarity_ranks(docs: DataFrame, text: str = "text") -> Column:
-    """Array literal: for each word bucket its rank, rarest first, centred on 0. Its size is fixed."""
-    counts = docs.select(F.explode(F.split(F.col(text), SPACE)).alias("w")).filter("w <> ''").groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    n = {r["bucket"]: r["n"] for r in counts.collect()}  # at most 65,536 rows
-    order = sorted(range(1 << BUCKET_BITS), key=lambda b: (n.get(b, 0), b))
-    rank = [0] * len(order)
-    for r, b in enumerate(order):
-        rank[b] = r - len(order) // 2
-    return F.expr(f"cast(split('{','.join(map(str, rank))}', ',') as array<int>)")
+def rarity_classes(sets: DataFrame) -> Column:
+    """Array literal: for each word bucket a class that grows with the lines it is in. Its size is fixed."""
+    size = 1 << BUCKET_BITS
+    seen = sets.select(F.explode("words").alias("w")).groupBy(_bucket(F.col("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    every = seen.unionByName(sets.sparkSession.range(size).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n")))
+    classes = every.groupBy("bucket").agg(F.least(F.round(F.log2(F.sum("n") + 1) * CLASSES_PER_DOUBLING), F.lit((1 << CLASS_BITS) - 1)).cast("int").alias("class"))
+    # One row per bucket, however large the corpus: the list has 2^20 numbers.
+    listed = classes.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "class"))), lambda b: b["class"].cast("string")), ",")).first()[0]
+    return F.expr(f"cast(split('{listed}', ',') as array<int>)")
 
 
-def word_keys(line: Column, ranks: Column) -> Column:
-    """The distinct words of a trimmed line as sorted keys, rarest first."""
-    hashes = F.array_distinct(F.transform(F.split(line, SPACE), lambda w: F.xxhash64(w)))
-    low = (1 << (64 - BUCKET_BITS)) - 1
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), 64 - BUCKET_BITS).bitwiseOR(h.bitwiseAND(low))))
+def word_set(line: Column) -> Column:
+    """The distinct words of a trimmed line as sorted hashes."""
+    return F.sort_array(F.array_distinct(F.transform(F.split(line, SPACE), lambda w: F.xxhash64(w))))
+
+
+def rarest_first(hashes: str, classes: Column) -> Column:
+    """The words of a set as keys, rarest first: the class of the bucket, then the rest of the hash."""
+    rest = (1 << (64 - CLASS_BITS)) - 1
+    half = 1 << (CLASS_BITS - 1)
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft((F.get(classes, _bucket(h)) - half).cast("long"), 64 - CLASS_BITS).bitwiseOR(h.bitwiseAND(rest))))
 
 
 def _parity(keys: str) -> Column:
@@ -82,17 +90,12 @@ def _possible(similarity: Fraction, positions: bool) -> Column:
     return F.expr(f"least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p} and bit_count(l.parity ^ e.parity) <= l.n + e.n - 2 * {need}{place}")
 
 
-def _gone(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, similarity: Fraction) -> DataFrame:
+def _gone(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """``(line)`` numbers of the later lines of those of ``pairs (a, b)`` that are as similar as asked for."""
     pairs = materialize(pairs.distinct(), "line-pairs")
-    wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-    known = distinct.select("line", *ID).join(broadcast_if_small(materialize(wanted, "line-ids")), "line", "left_semi")
-    known = materialize(known.select("line", F.struct(*ID).alias("id")), "line-ids")
-    lines = lines_of(docs, text)
-    same = (lines["row"] == F.col("id.row")) & (lines["line_no"] == F.col("id.line_no")) & lines["doc_id"].eqNullSafe(F.col("id.doc_id"))
-    found = lines.withColumnRenamed("line", "body").join(broadcast_if_small(known), same).dropDuplicates(["line"])
-    sets = materialize(found.select("line", "id", F.array_distinct(words(F.col("body"))).alias("words")), "line-words")
-    a, b = (sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns]) for side in "ab")
+    wanted = materialize(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct(), "line-ids")
+    known = sets.select("line", F.struct(*ID).alias("id"), "words").join(broadcast_if_small(wanted), "line", "left_semi")
+    a, b = (known.select(*[F.col(c).alias(f"{side}_{c}") for c in known.columns]) for side in "ab")
     both = pairs.join(a, F.col("a") == F.col("a_line")).join(b, F.col("b") == F.col("b_line"))
     shared, p, q = F.size(F.array_intersect("a_words", "b_words")), similarity.numerator, similarity.denominator
     alike = both.filter(shared * (p + q) >= (F.size("a_words") + F.size("b_words")) * p)
@@ -102,20 +105,23 @@ def _gone(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, sim
 def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
     """``(doc_id, row, line_no)`` of the lines that stay: those without a similar earlier line."""
     p, q = similarity.numerator, similarity.denominator
-    ranks = rarity_ranks(docs, text)
     lines = lines_of(docs, text).select(*ID, trimmed(F.col("line")).alias("line")).filter("line <> ''")
-    keyed = lines.select(*ID, word_keys(F.col("line"), ranks).alias("keys"))
-    keyed = keyed.select(*ID, F.size("keys").alias("n"), F.xxhash64("keys").alias("set_hash"), _parity("keys").alias("parity"), F.expr(f"slice(keys, 1, size(keys) - (size(keys) * {p} + {q - 1}) div {q} + 1)").alias("prefix"))
+    sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line")).alias("words")), "line-sets", compression="zstd")
+
     # Lines with equal sets: the earliest stands for all of them.
-    distinct = keyed.groupBy("set_hash", "n", "parity").agg(F.min(F.struct(*ID)).alias("id"), F.first("prefix").alias("prefix"))
-    distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("line"), "id.*", "n", "parity", "prefix"), "lines")
+    firsts = sets.groupBy(F.xxhash64("words").alias("set_hash"), F.size("words").alias("n"), _parity("words").alias("parity")).agg(F.min(F.struct(*ID, "line")).alias("first"))
+    firsts = materialize(firsts.select("first.line", *[f"first.{c}" for c in ID], "n", "parity"), "first-of-equals")
+    classes = rarity_classes(sets)
+    keyed = sets.select("line", rarest_first("words", classes).alias("keys"))
+    keyed = keyed.select("line", F.expr(f"slice(keys, 1, size(keys) - (size(keys) * {p} + {q - 1}) div {q} + 1)").alias("prefix"))
+    distinct = materialize(keyed.join(broadcast_if_small(firsts), "line").select("line", *ID, "n", "parity", "prefix"), "lines")
 
     # Near copies nearly always share one of the last words of their prefixes, and many their size.
     heads = distinct.select("line", F.struct(*ID).alias("id"), "n", "parity", F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(HEAD_WORDS)), HEAD_WORDS)).alias("word"))
     leaders = heads.groupBy("word", "n").agg(F.min(F.struct("id", "line", "parity")).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
     leaders = leaders.select("word", "n", "e.line", "e.parity")
     tried = heads.select("line", "n", "parity", "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.n = e.n and l.line <> e.line")).filter(_possible(similarity, positions=False))
-    gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), distinct, docs, text, similarity)
+    gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
 
     flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
     asked = distinct.select("line", "n", "parity", "prefix").join(flagged, "line", "left").select("line", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
@@ -124,9 +130,9 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     pairs = prefixes.alias("l").join(prefixes.alias("e"), F.col("l.word") == F.col("e.word")).filter(
         (F.col("l.line") < F.col("e.line")) & (F.col("l.open") | F.col("e.open")) & _possible(similarity, positions=True)
     )
-    also = _gone(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), distinct, docs, text, similarity)
+    also = _gone(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
     gone = gone.union(also).distinct()
-    return distinct.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
+    return firsts.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
