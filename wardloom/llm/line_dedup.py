@@ -2,7 +2,7 @@
 
 A line is the set of its words, held as 64-bit hashes, which are written once: counts, prefixes and
 verification read them and never the texts again. Words are ordered by rarity: their hashes fall into
-2^20 buckets, whose line counts over the whole corpus give each a class, and a word's key is that class
+2^18 buckets, whose line counts over the whole corpus give each a class, and a word's key is that class
 followed by the rest of its hash. Lines with equal sets collapse first. Of the others only a prefix
 of the rarest words is joined; length, position and a parity bitmap of the set rule out nearly all
 pairs inside the join, and the rest are verified on their full word sets.
@@ -28,7 +28,7 @@ from wardloom.llm.common import SPACE, table
 from wardloom.session import broadcast_if_small, materialize
 
 SIMILARITY = Fraction(4, 5)
-BUCKET_BITS = 20
+BUCKET_BITS = 18
 CLASSES_PER_DOUBLING = 4  # rarity classes of word buckets
 CLASS_BITS = 8
 HEAD_WORDS = 2  # last words of a prefix by which a line looks for the leader of its near copies
@@ -60,7 +60,7 @@ def rarity_classes(sets: DataFrame) -> Column:
     seen = sets.select(F.explode("words").alias("w")).groupBy(_bucket(F.col("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     every = seen.unionByName(sets.sparkSession.range(size).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n")))
     classes = every.groupBy("bucket").agg(F.least(F.round(F.log2(F.sum("n") + 1) * CLASSES_PER_DOUBLING), F.lit((1 << CLASS_BITS) - 1)).cast("int").alias("class"))
-    # One row per bucket, however large the corpus: the list has 2^20 numbers.
+    # One row per bucket, however large the corpus: the list has 2^18 numbers.
     listed = classes.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "class"))), lambda b: b["class"].cast("string")), ",")).first()[0]
     return F.expr(f"cast(split('{listed}', ',') as array<int>)")
 
