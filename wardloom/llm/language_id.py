@@ -111,7 +111,7 @@ def build_model(counts: list[tuple[str, int, int]]) -> Model:
     langs = sorted({lang for lang, _, _ in counts}, key=str.encode)
     column = {lang: i for i, lang in enumerate(langs)}
     gram = np.array([g for _, g, _ in counts], np.int64)
-    lang = np.array([column[x] for x, _, _ in counts])
+    lang = np.array([column[x] for x, _, _ in counts], np.int64)
     n = np.array([c for _, _, c in counts], np.float64)
     seen = np.unique(np.concatenate([(gram >> s) & 255 for s in (24, 16, 8, 0)])) if len(gram) else np.zeros(0, np.int64)
     letter = np.zeros(256, np.int64)
