@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardloom.llm.best_fit_packing import best_fit_packing
+from wardloom.llm.chat_windows import chat_windows
 from wardloom.llm.filter_audit import ORACLE as AUDIT_SQL
 from wardloom.llm.filter_audit import filter_audit
 from wardloom.llm.hilbert_search import hilbert_search
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup,
     "op11_source_divergence": source_divergence,
     "op12_filter_audit": filter_audit,
+    "op13_chat_windows": chat_windows,
 }
 
 ORACLE: dict[str, str] = {
