@@ -66,16 +66,19 @@ def failure_patterns(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Only ids, digests and masks are shuffled. Copies of a text are counted before they meet: what is grouped by digest
     has one row per part, label and task, however many copies a text has.
     """
-    failed = docs.select("doc_id", "part", "text").mapInArrow(text_failures, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, part string, digest binary, mask int")
-    counted = failed.groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n"))
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, part string, digest binary, mask int"
+
+    def counted(some: DataFrame) -> DataFrame:
+        return some.select("doc_id", "part", "text").mapInArrow(text_failures, schema).groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n"))
+
     flags = labels.filter("doc_id is not null").groupBy("doc_id").agg(
         F.coalesce(F.max(F.col("quality") == 1), F.lit(False)).alias("good"), F.coalesce(F.max(F.col("toxic") == 1), F.lit(False)).alias("toxic")
     )
     # Rows without an id have no label, and are kept out of the join, where they would meet in one task.
     labelled = (
-        counted.filter("doc_id is not null")
+        counted(docs.filter("doc_id is not null"))
         .join(broadcast_if_small(flags), "doc_id", "left")
-        .unionByName(counted.filter("doc_id is null").withColumns({"good": F.lit(False), "toxic": F.lit(False)}))
+        .unionByName(counted(docs.filter("doc_id is null")).withColumns({"good": F.lit(False), "toxic": F.lit(False)}))
     )
     same = labelled.groupBy("digest", "part", "mask", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic")).agg(
         F.sum("n").alias("n"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).alias("first"), F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("no_id")
