@@ -51,7 +51,9 @@ def main() -> int:
     from wardloom.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g")
+    spark = build_session(
+        "compare", "local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
+    )
     spark.sparkContext.setLogLevel("ERROR")
     db, failed, sql = connect(sf_dir), 0, entry.oracle_sql()
     for name, query in entry.queries().items():

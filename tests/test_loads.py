@@ -1,10 +1,12 @@
 import datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from wardloom.plans import tables
-from wardloom.sinks.jdbc import JdbcTable, upsert_statements
+from wardloom.plans.incremental import Source, load_new_files, warehouse_sources
+from wardloom.sinks.jdbc import JdbcTable, drop_older_statement, upsert_statements
 from wardloom.sinks.report import LoadReport
 from wardloom.sinks.snapshot import SnapshotTable
 from wardloom.sources.incremental import Bookmark
@@ -106,7 +108,7 @@ def test_stream(spark, tmp_path):
     version = table.version()
     run()
     assert table.version() == version  # nothing new
-    assert table.applied("s")[1] == 1
+    assert list(table._state()[1]["applied"]["s"].values()) == [1]
     # A fresh checkpoint begins at batch 0 again; its new rows must get in all the same.
     checkpoint = str(tmp_path / "fresh")
     spark.createDataFrame([(3, "c"), (4, "c")], schema).coalesce(1).write.parquet(f"{inbox}2")
@@ -116,8 +118,9 @@ def test_stream(spark, tmp_path):
 
 def test_replayed_batch_is_skipped(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(spark.createDataFrame([], "k bigint"))
-    table.upsert(spark.range(1).select(F.col("id").alias("k")), ["k"], applied={"s": ["one", 3]})
-    assert table.applied("s") == ("one", 3) and table.applied("other") == (None, -1)
+    table.upsert(spark.range(1).select(F.col("id").alias("k")), ["k"], applied=("s", "one", 3))
+    table.upsert(spark.range(1).select(F.col("id").alias("k")), ["k"], applied=("s", "two", 0))
+    assert (table.applied("s", "one"), table.applied("s", "two"), table.applied("s", "three"), table.applied("other", "one")) == (3, 0, -1, -1)
 
 
 def test_empty_string_in_a_partition_column(spark, tmp_path):
@@ -149,10 +152,10 @@ def test_report_passed_in_keeps_a_failure(spark, tmp_path):
 
 
 class FakeConnection:
-    """Stands in for a JDBC connection and writes down what is asked of it."""
+    """Stands in for a JDBC connection: writes down what is asked of it, and has an answer to every question."""
 
-    def __init__(self, fail=False):
-        self.calls, self.fail = [], fail
+    def __init__(self, fail=(), known=(), no_ledger=False):
+        self.calls, self.fail, self.known, self.no_ledger = [], fail, known, no_ledger
 
     def __getattr__(self, name):
         return lambda *args: self.calls.append(name)
@@ -161,32 +164,190 @@ class FakeConnection:
         return self
 
     def executeUpdate(self, sql):
-        self.calls.append(sql.split()[0])
-        if self.fail and sql.startswith("INSERT"):
-            raise RuntimeError("no insert")
+        self.calls.append(" ".join(sql.split()[:3]) if sql.startswith("INSERT") else sql.split()[0])
+        if any(sql.startswith(f) for f in self.fail):
+            raise RuntimeError("refused")
         return 2
 
+    def executeQuery(self, sql):
+        if "COUNT" in sql:
+            return Answer(7)
+        if self.no_ledger:
+            raise RuntimeError("no such table")
+        return Answer(any(f"'{name}'" in sql for name in self.known))
+
+
+class Answer:
+    def __init__(self, value):
+        self.value = value
+
+    def next(self):
+        return self.value
+
+    def getLong(self, _):
+        return self.value
+
 
 def jdbc_table(spark, monkeypatch, connection):
     table = JdbcTable(spark, "jdbc:x:", "public.users", connect=lambda: connection)
-    monkeypatch.setattr(table, "_write", lambda df, name, mode: connection.calls.append(f"write {name} {mode}"))
+    monkeypatch.setattr(table, "_write", lambda df, name, mode: connection.calls.append(f"write {name[:20]} {mode} {df.columns}"))
     return table
 
 
+STAGED = "write public.users_staging overwrite ['id', 'load_partition', 'load_attempt']"
+INTO = "INSERT INTO public.users"
+NOTED = "INSERT INTO wardloom_loads"
+
+
 def test_jdbc_upsert_is_one_transaction(spark, monkeypatch):
     connection = FakeConnection()
-    assert jdbc_table(spark, monkeypatch, connection).upsert(spark.range(1), ["id"]) == 2
-    assert connection.calls == ["write public.users_staging overwrite", "setAutoCommit", "DELETE", "INSERT", "commit", "DROP", "commit", "close"]
+    counts = jdbc_table(spark, monkeypatch, connection).upsert(spark.range(1), ["id"])
+    assert (counts.rows_in, counts.rows_deleted, counts.rows_out) == (2, 2, 7)
+    assert connection.calls == ["setAutoCommit", STAGED, "DELETE", INTO, NOTED, "commit", "DROP", "commit", "close"]
+
+
+def test_jdbc_append_is_one_transaction(spark, monkeypatch):
+    connection = FakeConnection(no_ledger=True)
+    counts = jdbc_table(spark, monkeypatch, connection).append(spark.range(1))
+    assert (counts.rows_in, counts.rows_deleted, counts.rows_out) == (2, 0, 7)
+    assert connection.calls == ["setAutoCommit", "rollback", "CREATE", "commit", STAGED, INTO, NOTED, "commit", "DROP", "commit", "close"]
+
+
+@pytest.mark.parametrize("refused", [INTO, NOTED, "DELETE"])
+def test_jdbc_failure_rolls_back_and_drops_staging(spark, monkeypatch, refused):
+    """Of two runs of one load, the second is refused its row in the ledger, and takes its rows back."""
+    connection = FakeConnection(fail=[refused])
+    with pytest.raises(RuntimeError, match="refused"):
+        jdbc_table(spark, monkeypatch, connection).upsert(spark.range(1), ["id"], load_id="l")
+    assert connection.calls[-4:] == ["rollback", "DROP", "commit", "close"] and "commit" not in connection.calls[:-4]
+
+
+def test_jdbc_load_is_done_once(spark, monkeypatch):
+    connection = FakeConnection(known=["monday"])
+    table = jdbc_table(spark, monkeypatch, connection)
+    assert table.append(spark.range(1), load_id="monday").rows_in == 0
+    assert connection.calls == ["setAutoCommit", "close"]
+    assert table.append(spark.range(1), load_id="tuesday").rows_in == 2
 
 
-def test_jdbc_failure_rolls_back_and_drops_staging(spark, monkeypatch):
-    connection = FakeConnection(fail=True)
-    with pytest.raises(RuntimeError, match="no insert"):
-        jdbc_table(spark, monkeypatch, connection).upsert(spark.range(1), ["id"])
-    assert connection.calls[-5:] == ["INSERT", "rollback", "DROP", "commit", "close"]
+def test_jdbc_staging_tables_of_two_runs_differ(spark, monkeypatch):
+    names = []
+    table = JdbcTable(spark, "jdbc:x:", "t", connect=FakeConnection)
+    monkeypatch.setattr(table, "_write", lambda df, name, mode: names.append(name))
+    table.append(spark.range(1))
+    table.append(spark.range(1))
+    assert len(set(names)) == 2
 
 
 def test_jdbc_statements():
     delete, insert = upsert_statements("t", "t_staging", ["user_id", "date"], ["user_id", "date", 'o"x'])
     assert delete == 'DELETE FROM t WHERE EXISTS (SELECT 1 FROM t_staging s WHERE s."user_id" = t."user_id" AND s."date" = t."date")'
-    assert insert == 'INSERT INTO t ("user_id", "date", "o""x") SELECT "user_id", "date", "o""x" FROM t_staging'
+    assert insert == (
+        'INSERT INTO t ("user_id", "date", "o""x") SELECT "user_id", "date", "o""x" FROM t_staging s WHERE s."load_attempt" = '
+        '(SELECT MIN(f."load_attempt") FROM t_staging f WHERE f."load_partition" = s."load_partition")'
+    )
+
+
+def test_jdbc_statements_take_one_attempt_and_newer_rows(spark):
+    """The statements themselves, run by the engine that runs the SQL of the queries."""
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t AS SELECT * FROM (VALUES (1, 10, 'held'), (2, 10, 'held'), (3, NULL, 'held'), (NULL, 1, 'held')) v(k, n, s)")
+    db.execute("""CREATE TABLE st AS SELECT * FROM (VALUES (1, 9, 'old', 0, 5), (2, 10, 'same', 0, 5), (3, 1, 'new', 1, 8), (3, 1, 'new', 1, 6),
+      (4, NULL, 'none', 2, 7), (NULL, 5, 'no key', 2, 7), (4, NULL, 'none', 2, 9), (NULL, 5, 'no key', 2, 9)) v(k, n, s, load_partition, load_attempt)""")
+    for sql in (drop_older_statement("t", "st", ["k"], "n"), *upsert_statements("t", "st", ["k"], ["k", "n", "s"])):
+        db.execute(sql)
+    rows = sorted(map(str, db.execute("SELECT * FROM t").fetchall()))
+    assert rows == sorted(map(str, [(1, 10, "held"), (2, 10, "same"), (3, 1, "new"), (4, None, "none"), (None, 1, "held"), (None, 5, "no key")]))
+
+
+def test_attempts_are_told_apart(spark, monkeypatch):
+    written = []
+    table = JdbcTable(spark, "jdbc:x:", "t", connect=FakeConnection)
+    monkeypatch.setattr(table, "_write", lambda df, name, mode: written.extend(df.collect()))
+    for _ in range(2):
+        table.append(spark.range(0, 100, 1, 4).toDF("id"))
+    attempts = [{r.load_attempt for r in written[i : i + 100]} for i in (0, 100)]
+    assert all(attempts) and not attempts[0] & attempts[1]
+    by_partition = {(i // 100, r.load_partition, r.load_attempt) for i, r in enumerate(written)}
+    assert len(by_partition) == len({(run, part) for run, part, _ in by_partition})
+
+
+def test_warehouse_in_a_database(spark, monkeypatch):
+    """All five tables through the same interface, each in a target opened by name."""
+    opened = []
+
+    def database(name):
+        opened.append(name)
+        table = JdbcTable(spark, "jdbc:x:", f"public.{name}", connect=FakeConnection)
+        monkeypatch.setattr(table, "_write", lambda df, name, mode: None)
+        return table
+
+    provider = spark.createDataFrame([(1, "p")], "id bigint, name string")
+    report = tables.load_warehouse(spark, database, customers(spark), wearables(spark), provider)
+    assert opened == ["devices", "watch_facts", "users", "renewal_history", "provider"]
+    assert [(r.rows_in, r.rows_deleted, r.rows_out) for r in report.to_df().collect()] == [(2, 2, 7)] * 5
+
+
+# -- the incremental job ---------------------------------------------------------------------
+
+
+def test_incremental_warehouse(spark, tmp_path):
+    """The job's own sources: a new day of a known user, an old file that comes late, a replay through fresh checkpoints."""
+    inbox, base = str(tmp_path / "in"), str(tmp_path / "dw")
+    provider = spark.createDataFrame([(1, "p")], "id bigint, name string")
+
+    def day(number, steps):
+        return wearables(spark, steps).withColumn("date", F.date_add(F.lit(datetime.date(2024, 1, 1)), number))
+
+    with_number = lambda df, n: df.withColumn("load_no", F.lit(n))
+    schemas = [with_number(df, 0).schema for df in (customers(spark), wearables(spark), provider)]
+
+    def drop(number, **frames):
+        for name, df in frames.items():
+            df.write.parquet(f"{inbox}/{name}/load_no={number}")
+
+    def run(checkpoints):
+        sources = warehouse_sources(inbox, *schemas, order_by="load_no")
+        report = load_new_files(spark, base, sources, str(tmp_path / checkpoints))
+        return [(r.table, r.rows_in) for r in report.to_df().collect()]
+
+    def state():
+        facts = SnapshotTable(spark, f"{base}/watch_facts").read().select("user_id", F.col("date").cast("string"), "steps", "load_no")
+        users = SnapshotTable(spark, f"{base}/users").read().select("id", "age", "load_no")
+        ids = SnapshotTable(spark, f"{base}/renewal_history").read().select("id", "load_no")
+        return [sorted(map(tuple, df.collect())) for df in (facts, users, ids)]
+
+    drop(2, customers=customers(spark), wearables=day(0, 5), provider=provider)
+    assert run("one")
+    drop(3, customers=customers(spark).filter("id = 2"), wearables=day(1, 6), provider=provider.limit(0))
+    run("one")
+    facts = state()[0]
+    assert len(facts) == 8 and {f[1:] for f in facts} == {("2024-01-01", 5, 2), ("2024-01-02", 6, 3)}
+    drop(1, customers=customers(spark).withColumn("age", F.lit(99)), wearables=day(0, 4), provider=provider)
+    run("one")
+    assert state()[0] == facts and 99 not in {age for _, age, _ in state()[1]}
+    before = state()
+    assert run("one") == []
+    run("fresh")
+    assert state() == before
+
+
+def test_batch_is_skipped_by_the_tables_that_have_it(spark, tmp_path, monkeypatch):
+    """A run that fails between two tables of a source loads the second one when it is repeated, and only that."""
+    frame = spark.createDataFrame([(1, "a", 1)], "k long, v string, load_no int")
+    frame.write.parquet(str(tmp_path / "in"))
+    fail = [True]
+
+    def second(df):
+        if fail[0]:
+            raise RuntimeError("lost")
+        return df
+
+    loads = ((tables.TableLoad("first", ("k",)), lambda df: df), (tables.TableLoad("second", ("k",)), second))
+    source = Source("s", str(tmp_path / "in"), frame.schema, loads)
+    with pytest.raises(Exception, match="lost"):
+        load_new_files(spark, str(tmp_path / "dw"), [source], str(tmp_path / "cp"))
+    fail[0] = False
+    report = load_new_files(spark, str(tmp_path / "dw"), [source], str(tmp_path / "cp"))
+    assert [(r.table, r.rows_in, r.rows_out) for r in report.to_df().collect()] == [("second", 1, 1)]
+    assert [SnapshotTable(spark, str(tmp_path / "dw" / name)).rows() for name in ("first", "second")] == [1, 1]

@@ -4,6 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from wardloom.plans.tables import TableLoad
+from wardloom.session import Intermediates, is_small, materialize, shared_dir
 from wardloom.sinks.snapshot import SnapshotTable
 from wardloom.sources.versions import CommitConflict
 
@@ -29,9 +31,9 @@ STAGED = [(1, "a", "new"), (1, "b", "new"), (1, "b", "twin"), (None, "a", "n2"),
 
 
 @pytest.mark.parametrize("keys", [["k"], ["k", "d"]])
-@pytest.mark.parametrize("partition_by", [[], ["d"]])
-def test_upsert(spark, tmp_path, keys, partition_by):
-    table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(frame(spark, TARGET), partition_by)
+@pytest.mark.parametrize("partition_by,bucket_by", [([], []), (["d"], []), ([], ["k"]), (["d"], ["k"]), ([], ["v", "d"])])
+def test_upsert(spark, tmp_path, keys, partition_by, bucket_by):
+    table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(frame(spark, TARGET), partition_by, bucket_by, 3 if bucket_by else 0)
     table.append(frame(spark, TARGET))
     counts = table.upsert(frame(spark, STAGED), keys)
     wanted = model(TARGET, STAGED, lambda r: tuple(r[("k", "d", "v").index(k)] for k in keys))
@@ -100,3 +102,78 @@ def test_duplicate_policies(spark, tmp_path):
     assert bag(table.read()) == Counter([(1, "b", "y"), (None, "c", "n"), (None, "d", "n")])
     table.upsert(staged, ["k"])
     assert table.read().filter("k = 1").count() == 2
+
+
+def test_one_key_rewrites_one_bucket(spark, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(frame(spark, []), bucket_by=["k"], buckets=8)
+    table.append(frame(spark, [(i, "a", "x") for i in range(200)]))
+    before = set(table._state()[1]["dirs"])
+    assert len(before) == 8
+    scanned = []
+    scan = table._scan
+    monkeypatch.setattr(table, "_scan", lambda dirs, schema: scanned.append(set(dirs)) or scan(dirs, schema))
+    counts = table.upsert(frame(spark, [(77, "a", "new")]), ["k"])
+    after = set(table._state()[1]["dirs"])
+    gone = before - after
+    assert len(gone) == 1 and (counts.rows_in, counts.rows_deleted, counts.rows_out) == (1, 1, 200)
+    assert set().union(*scanned) & before == gone  # and no other bucket was read
+    assert bag(table.read()) == Counter([(i, "a", "new" if i == 77 else "x") for i in range(200)])
+
+
+def test_buckets_follow_the_key_not_the_load(spark, tmp_path):
+    """A bucket by part of the key still tells folders apart; one by other columns does not."""
+    for bucket_by, rewritten in ((["k"], 1), (["v"], 2)):
+        table = SnapshotTable(spark, str(tmp_path / bucket_by[0])).create_if_absent(frame(spark, []), bucket_by=bucket_by, buckets=64)
+        table.append(frame(spark, [(5, "a", "x"), (5, "a", "y"), (6, "b", "z")]))
+        before = set(table._state()[1]["dirs"])
+        table.upsert(frame(spark, [(5, "a", "new")]), ["k", "d"])
+        assert len(before - set(table._state()[1]["dirs"])) == rewritten
+        assert bag(table.read()) == Counter([(5, "a", "new"), (6, "b", "z")])
+
+
+def test_newest_stands_whatever_comes_last(spark, tmp_path):
+    drops = [[(1, "b", "x"), (1, "b", "y"), (2, "a", "x"), (None, "a", "n")], [(1, "a", "old"), (2, "b", "new"), (3, None, "p"), (4, "c", "q")], [(3, "a", "r"), (4, None, "s"), (1, "b", "z")]]
+    wanted = {0: [(1, "b", "z")], 1: [(1, "b", "x"), (1, "b", "y")]}
+    for name, order in (("forth", drops), ("back", drops[::-1])):
+        table = SnapshotTable(spark, str(tmp_path / name)).create_if_absent(frame(spark, []), bucket_by=["k"], buckets=4)
+        for rows in order:
+            table.upsert(frame(spark, rows), ["k"], on_duplicate="newest", order_by="d")
+        last = wanted[0 if name == "forth" else 1]
+        assert bag(table.read()) == Counter([*last, (2, "b", "new"), (3, "a", "r"), (4, "c", "q"), (None, "a", "n")])
+        assert table.rows() == table.read().count()
+
+
+def test_counts_come_from_the_write(spark, tmp_path, monkeypatch):
+    """An append reads nothing back, also when it is empty."""
+    table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(frame(spark, []), ["d"])
+    monkeypatch.setattr(table, "_scan", lambda *args: pytest.fail("read back"))
+    assert table.append(frame(spark, [(i, "ab"[i % 2], "x") for i in range(1000)])).rows_in == 1000
+    assert table.append(frame(spark, []).filter("k > 3")).rows_in == 0 and table.rows() == 1000
+
+
+def test_loads_leave_nothing_in_the_shared_folder(spark, tmp_path):
+    def working_files():
+        return {d for d in os.listdir(shared_dir(spark)) if not d.startswith("warehouse")}
+
+    before = working_files()
+    spec = TableLoad("t", ("k",), buckets=4, on_duplicate="newest", order_by="d")
+    for rows in ([(1, "a", "x"), (2, "a", "y")], [(1, "b", "z")]):
+        spec.run(spark, str(tmp_path), frame(spark, rows))
+    assert working_files() == before
+
+
+def test_owner_keeps_what_is_still_read(spark):
+    with Intermediates(spark) as outer:
+        with Intermediates(spark) as inner:
+            used, unused = materialize(spark.range(5), "used"), materialize(spark.range(5), "unused")
+            result = used.filter("id > 2")
+            inner.keep(result)
+        assert result.count() == 2 and not os.path.exists(unused.inputFiles()[0].removeprefix("file://"))
+        outer.release(result)
+        assert result.count() == 2
+    assert not os.path.exists(used.inputFiles()[0].removeprefix("file://"))
+
+
+def test_width_counts_what_nested_values_hold(spark):
+    df = spark.range(100).select(F.array_repeat(F.lit(1), 1000).alias("a"), F.create_map(F.lit("k"), F.struct(F.array(F.lit("x" * 500)).alias("s"))).alias("m"), F.lit(None).cast("array<string>").alias("n"))
+    assert is_small(df, 3_000_000) and not is_small(df.select("a"), 1_500_000) and not is_small(df.select("m"), 50_000) and is_small(df.select("n"), 5_000)

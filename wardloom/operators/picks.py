@@ -22,10 +22,12 @@ def assign_text(rows: DataFrame, fields: Sequence[str], salt: str, corpus: Corpu
     """Append the drawn record's text.
 
     An equi-join on the record number: draws are uniform, so no number is hot unless the corpus
-    is tiny, and then it is broadcast (or its few partitions are split by adaptive execution).
+    is tiny, and then it is broadcast (or its few partitions are split by adaptive execution). Only records that
+    some row drew take part.
     """
     drawn = with_pick(rows, fields, salt, corpus)
-    return drawn.join(corpus.records.withColumnRenamed("text", name), "idx").drop("idx")
+    texts = corpus.drawn(drawn.select("idx").distinct())
+    return drawn.join(texts.withColumnRenamed("text", name), "idx").drop("idx")
 
 
 def assign_key(rows: DataFrame, fields: Sequence[str], salt: str, keys: DataFrame, key: str, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,10 @@ from wardloom.operators.corpus import Corpus, corpus_of_folder
 from wardloom.operators.numbering import number_equal_rows
 from wardloom.operators.picks import assign_key, with_pick
 from wardloom.operators.sentiment import note_score, score_texts
+from wardloom.session import Intermediates, materialize
+from wardloom.sinks.jdbc import JdbcTable
+from wardloom.sinks.report import LoadReport
+from wardloom.sinks.snapshot import LoadCounts, SnapshotTable
 
 
 @dataclass(frozen=True)
@@ -34,10 +38,9 @@ KINDS = (ADMISSION, FOLLOW_UP, DISCHARGE)
 NOTE_COLUMNS = ("user_id", "notes", "provider_id", "notes_pos_sentiment", "id", "notes_type")
 
 
-def make_notes(
+def doctor_notes(
     users: DataFrame,
-    corpus: Corpus,
-    kind: NoteKind,
+    corpora: Mapping[NoteKind, Corpus],
     lexicon: DataFrame | None = None,
     rules: Rules = Rules(),
     scorer: Callable[[Column], Column] | None = None,
@@ -47,51 +50,85 @@ def make_notes(
     id_mode: str = "derived",
     seed: str = "",
 ) -> DataFrame:
-    """One note per row of ``users``; a user that comes in several rows gets as many notes.
-
-    Draws and ids are derived from the user, the number of the row among the user's rows, the
-    kind and ``seed``, so recomputed tasks and reruns repeat them; another ``seed`` gives other
-    draws, and ``id_mode="random"`` fresh ids. Only records that somebody drew are scored, each
-    once, with ``lexicon`` and ``rules`` or by ``scorer``, and always on the text that is stored
-    (before its newlines are taken out). ``providers`` draws from real provider keys instead of
-    the fixed number range.
+    """One note of every kind in ``corpora`` per row of ``users``, as one table.
+
+    A user that comes in several rows gets as many notes of a kind. Draws and ids are derived from the user, the
+    number of the row among the user's rows, the kind and ``seed``, so recomputed tasks and reruns repeat
+    them; another ``seed`` gives other draws, and ``id_mode="random"`` fresh ids. Only records that
+    somebody drew are cut, moved and scored, each once, with ``lexicon`` and ``rules`` or by ``scorer``, and always
+    on the text that is stored (before its newlines are taken out). ``providers`` draws from real provider keys
+    instead of the fixed number range.
+
+    Users are numbered once for all kinds, and the records of all kinds are scored and joined together: the
+    corpora lie end to end in one range of numbers.
     """
     if (lexicon is None) == (scorer is None):
         raise ValueError("give either a lexicon or a scorer")
-    salt = kind.label + seed
     who = ["user_id", "occurrence"]
     who_columns = [F.col(c) for c in who]
-    numbered = number_equal_rows(users.select(F.col(user_key).alias("user_id")))
-    used = corpus.records.join(with_pick(numbered, who, salt, corpus).select("idx").distinct(), "idx", "left_semi")
-
-    # Providers are drawn while the rows are narrow, before the texts join them.
-    if providers is None:
-        treated = numbered.withColumn("provider_id", provider_pick(who_columns, "provider|" + salt))
-    else:
-        treated = assign_key(numbered, who, "provider|" + salt, providers, provider_key, "provider_id")
-    drawn = with_pick(treated, who, salt, corpus)
+    numbered = materialize(number_equal_rows(users.select(F.col(user_key).alias("user_id"))), "users")
+
+    draws, records, begin = [], [], 0
+    for kind, corpus in corpora.items():
+        salt = kind.label + seed
+        picked = with_pick(numbered, who, salt, corpus)
+        records.append(corpus.drawn(picked.select("idx").distinct()).select((F.col("idx") + begin).alias("note"), "text"))
+        # Providers are drawn while the rows are narrow, before the texts join them.
+        noted = picked.select(*who, (F.col("idx") + begin).alias("note"))
+        if providers is None:
+            treated = noted.withColumn("provider_id", provider_pick(who_columns, "provider|" + salt))
+        else:
+            treated = assign_key(noted, who, "provider|" + salt, providers, provider_key, "provider_id")
+        draws.append(treated.select(*who, "provider_id", "note", F.lit(kind.label).alias("notes_type"), F.lit(kind.one_line).alias("_one_line")))
+        begin += corpus.size
+    used = materialize(_union(records), "drawn-notes")
 
     if scorer is not None:
         scored = used.withColumn("notes_pos_sentiment", scorer(F.col("text")))
     else:
-        scores = score_texts(used, "idx", "text", lexicon, rules)
-        scored = used.join(scores.select("idx", note_score().alias("notes_pos_sentiment")), "idx")
+        scores = score_texts(used, "note", "text", lexicon, rules)
+        scored = used.join(scores.select("note", note_score().alias("notes_pos_sentiment")), "note")
 
-    notes = drawn.join(scored, "idx")
-    identity = random_id() if id_mode == "random" else surrogate_id([*who_columns, F.lit(salt)])
+    notes = _union(draws).join(scored, "note")
+    identity = random_id() if id_mode == "random" else surrogate_id([*who_columns, F.concat("notes_type", F.lit(seed))])
     return notes.select(
         "user_id",
-        (strip_newlines(F.col("text")) if kind.one_line else F.col("text")).alias("notes"),
+        F.when(F.col("_one_line"), strip_newlines(F.col("text"))).otherwise(F.col("text")).alias("notes"),
         "provider_id",
         "notes_pos_sentiment",
         identity.alias("id"),
-        F.lit(kind.label).alias("notes_type"),
+        "notes_type",
     )
 
 
-def doctor_notes(users: DataFrame, corpora: dict[NoteKind, Corpus], **options) -> DataFrame:
-    """All kinds of notes for ``users``, as one table; every row is kept."""
-    parts = [make_notes(users, corpus, kind, **options) for kind, corpus in corpora.items()]
+def make_notes(users: DataFrame, corpus: Corpus, kind: NoteKind, **options) -> DataFrame:
+    """The notes of one kind."""
+    return doctor_notes(users, {kind: corpus}, **options)
+
+
+def load_notes(
+    target: SnapshotTable | JdbcTable,
+    users: DataFrame,
+    corpora: Callable[[], Mapping[NoteKind, Corpus]],
+    report: LoadReport | None = None,
+    **options,
+) -> LoadCounts:
+    """Create ``target`` if it is absent, and append the notes of ``users``.
+
+    ``corpora`` is called inside the load, so that whatever is written on the way is deleted at its end.
+    """
+    spark = users.sparkSession
+
+    def load() -> LoadCounts:
+        with Intermediates(spark):
+            notes = doctor_notes(users, corpora(), **options)
+            target.create_if_absent(notes.limit(0))
+            return target.append(notes)
+
+    return (report or LoadReport(spark)).run("doctor_notes", load)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -6,11 +6,13 @@ uses one, so that the two do not share their mistakes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from wardloom.functions import rules as fixed
 from wardloom.functions.rules import Rules
 from wardloom.plans import sample
 from wardloom.plans.notes import ADMISSION, DISCHARGE, FOLLOW_UP, NoteKind
-from wardloom.plans.queries import SAMPLE_DELIMITERS
+from wardloom.plans.queries import FILE_DOCS, SAMPLE_DELIMITERS
 
 
 def _text(value: str) -> str:
@@ -163,21 +165,42 @@ scores AS (
 _USERS = "SELECT DISTINCT o_custkey AS id, o_orderstatus, o_orderpriority FROM orders"
 
 
-def notes_sql(kind: NoteKind) -> str:
+def folder_sql(delimiter: str, after: str = "") -> str:
+    """The records of files of FILE_DOCS documents each, every document followed by ``after`` and a newline."""
+    return f"""
+SELECT part, pos, text FROM (
+  SELECT part, generate_subscripts(pieces, 1) - 1 AS pos, unnest(pieces) AS text FROM (
+    SELECT part, list_filter(string_split(content, {_delimiter(delimiter)}), lambda x: x <> '') AS pieces FROM (
+      SELECT doc_id // {FILE_DOCS} AS part, string_agg(coalesce(text, '') || {after or "''"} || chr(10), '' ORDER BY doc_id) AS content
+      FROM documents GROUP BY doc_id // {FILE_DOCS})))"""
+
+
+def note_folder_sql(kind: NoteKind) -> str:
+    after = "''" if kind.delimiter == "\n" else f"chr(10) || {_text(kind.delimiter)}"
+    return f"SELECT row_number() OVER (ORDER BY part, pos) - 1 AS idx, text FROM ({folder_sql(kind.delimiter, after)})"
+
+
+def notes_sql(kind: NoteKind, corpus: str | None = None, provider: str | None = None) -> str:
     who, salt = ("user_id", "occurrence"), kind.label
+    provider = provider or f"1 + {_pick(who, 'provider|' + salt, '2000')}"
     stored = "replace(c.text, chr(10), '')" if kind.one_line else "c.text"
     return f"""
-WITH corpus AS MATERIALIZED ({corpus_sql(SAMPLE_DELIMITERS[kind])}),
+WITH corpus AS MATERIALIZED ({corpus or corpus_sql(SAMPLE_DELIMITERS[kind])}),
 numbered AS (SELECT id AS user_id, row_number() OVER (PARTITION BY id) - 1 AS occurrence FROM ({_USERS})),
 drawn AS MATERIALIZED (SELECT *, {_pick(who, salt, '(SELECT count(*) FROM corpus)')} AS idx FROM numbered),
 {sentiment_ctes("SELECT idx AS id, text FROM corpus WHERE idx IN (SELECT idx FROM drawn)")}
-SELECT d.user_id, {stored} AS notes, 1 + {_pick(who, 'provider|' + salt, '2000')} AS provider_id,
+SELECT d.user_id, {stored} AS notes, {provider} AS provider_id,
   s.compound + s.neu AS notes_pos_sentiment, md5({_encoded(*who, _text(salt))}) AS id, {_text(kind.label)} AS notes_type
 FROM drawn d JOIN corpus c ON c.idx = d.idx JOIN scores s ON s.id = d.idx"""
 
 
-def _union_sql() -> str:
-    return " UNION ALL ".join(f"SELECT * FROM ({notes_sql(kind)})" for kind in (ADMISSION, FOLLOW_UP, DISCHARGE))
+def _union_sql(corpus: Callable[[NoteKind], str | None] = lambda kind: None) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM ({notes_sql(kind, corpus(kind))})" for kind in (ADMISSION, FOLLOW_UP, DISCHARGE))
+
+
+def _drawn_provider(salt: str) -> str:
+    return f"""(SELECT s_suppkey FROM (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM (SELECT DISTINCT s_suppkey FROM supplier))
+  WHERE place = {_pick(('user_id', 'occurrence'), 'provider|' + salt, '(SELECT count(DISTINCT s_suppkey) FROM supplier)')})"""
 
 
 # -- table loads: what the earlier run left, and what the later one staged ---------------------
@@ -195,6 +218,7 @@ _PROVIDERS = "SELECT s_suppkey AS id, s_name, s_nationkey, {} AS s_acctbal FROM
 LOAD_SQL: dict[str, tuple[str, str, tuple[str, ...]]] = {
     "devices": (_DEVICES, _DEVICES + " WHERE p_size >= 49", ("device_model",)),
     "watch_facts": (_FACTS.format("", "R"), _FACTS.format(" + 1", "A"), ("user_id", "date")),
+    "watch_facts_by_date": tuple(f"SELECT * REPLACE (date_trunc('month', date)::DATE AS date) FROM ({_FACTS.format(*run)})" for run in (("", "R"), (" + 1", "A"))) + (("user_id", "date"),),
     "users": (_PROFILES.format("<"), _PROFILES.format(">="), ("id",)),
     "renewal_history": (_RENEWALS.format("< 2000"), _RENEWALS.format(">= 1998"), ("id",)),
     "provider": (_PROVIDERS.format("0.0::DOUBLE", "true"), _PROVIDERS.format("s_acctbal", "s_acctbal >= 0"), ("id",)),
@@ -213,6 +237,28 @@ UNION ALL SELECT '{name}', staged, deleted, loaded + staged - deleted FROM (
     return " UNION ALL ".join(parts)
 
 
+def _newest_sql(name: str, rows: str, key: str) -> str:
+    return f"""SELECT *, '{name}' AS "table" FROM ({rows}) QUALIFY load_no = max(load_no) OVER (PARTITION BY {key})"""
+
+
+def _incremental_sql() -> str:
+    facts = "SELECT l_orderkey AS user_id, l_partkey::VARCHAR AS device_model, l_returnflag AS brand, l_shipdate AS date, l_quantity{} AS steps, l_extendedprice AS calories_burned, {} AS load_no FROM lineitem WHERE l_returnflag {}"
+    wearables = " UNION ALL ".join(facts.format(*drop) for drop in (("", 0, "<> 'R'"), ("", 1, "= 'R'"), (" + 1", 2, "= 'A'")))
+    years = ((0, "< 2000"), (1, "BETWEEN 1998 AND 2001"), (2, ">= 2002"))
+    customers = " UNION ALL ".join(f"SELECT *, {n} AS load_no FROM orders WHERE year(o_orderdate) {years}" for n, years in years)
+    renewals = " UNION ALL ".join(f"SELECT *, {n} AS load_no FROM ({_RENEWALS.format(years)})" for n, years in years)
+    providers = f"SELECT *, 0 AS load_no FROM ({_PROVIDERS.format('0.0::DOUBLE', 'true')}) UNION ALL SELECT *, 1 FROM ({_PROVIDERS.format('s_acctbal', 's_acctbal >= 0')})"
+    parts = (
+        _newest_sql("devices", f"SELECT DISTINCT device_model, brand, load_no FROM ({wearables})", "device_model"),
+        _newest_sql("watch_facts", f"SELECT * EXCLUDE (brand) FROM ({wearables})", "user_id, date"),
+        _newest_sql("users", f"SELECT DISTINCT o_custkey AS id, o_orderstatus, o_orderpriority, load_no FROM ({customers})", "id"),
+        _newest_sql("renewal_history", f"SELECT * RENAME (id AS renewal_id) FROM ({renewals})", "renewal_id"),
+        _newest_sql("provider", providers, "id"),
+    )
+    return " UNION ALL BY NAME ".join(f"SELECT * FROM ({part})" for part in parts)
+
+
+_STREAMED = "SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN value + 1 ELSE value END AS value) FROM events"
 _TARGET = "SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY'"
 _STAGED = "SELECT * REPLACE (c_acctbal + 1 AS c_acctbal) FROM customer WHERE c_mktsegment IN ('MACHINERY', 'BUILDING')"
 
@@ -226,6 +272,11 @@ SELECT *, (CASE WHEN event_id <= (SELECT (min(event_id) + max(event_id)) // 2 FR
     "records_newline": records_sql("\n"),
     "records_literal_delim": records_sql(". "),
     "corpus_index": corpus_sql("\n"),
+    "corpus_folder": f"SELECT row_number() OVER (ORDER BY part, pos) - 1 AS idx, text FROM ({folder_sql('. ')})",
+    "corpus_growth": f"""
+WITH numbered AS MATERIALIZED (SELECT row_number() OVER (ORDER BY part % 2, part, pos) - 1 AS idx, part, text FROM ({folder_sql(chr(10))}))
+SELECT idx, text FROM numbered UNION ALL
+SELECT -c_custkey - 1, text FROM (SELECT c_custkey, {_pick(('c_custkey',), 'text', '(SELECT count(*) FROM numbered WHERE part % 2 = 0)')} AS idx FROM customer) JOIN numbered USING (idx)""",
     "create_empty_table": "SELECT * FROM orders WHERE false",
     "append_insert": "SELECT * FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "upsert_single_key": upsert_sql(_TARGET, _STAGED, ("c_custkey",)),
@@ -260,10 +311,13 @@ ON p_name = d.name AND p_brand = d.made_by""",
     "notes_discharge": notes_sql(DISCHARGE),
     "notes_union": _union_sql(),
     "doctor_notes": _union_sql(),
+    "notes_from_folders": _union_sql(note_folder_sql),
+    "notes_with_providers": notes_sql(ADMISSION, provider=_drawn_provider(ADMISSION.label)),
     "filter_notes_type": notes_sql(DISCHARGE),
     "count_notes": f"SELECT 3 * count(*) AS n FROM ({_USERS})",
     **{f"load_{name}": upsert_sql(*spec) for name, spec in LOAD_SQL.items()},
     "load_report": _report_sql(),
-    "stream_upsert": """
-SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN value + 1 ELSE value END AS value) FROM events""",
+    "stream_upsert": _STREAMED,
+    "stream_late_drop": _STREAMED,
+    "incremental_job": _incremental_sql(),
 }

@@ -8,17 +8,21 @@ files. Sink queries write to a fresh folder below the shared folder and return w
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardloom.functions.keys import provider_pick, surrogate_id
 from wardloom.functions.text import strip_newlines
-from wardloom.operators.corpus import Corpus, corpus_of_texts, records_of
+from wardloom.operators.corpus import Corpus, corpus_of_folder, corpus_of_texts, records_of
+from wardloom.operators.growing import GrowingCorpus
 from wardloom.operators.picks import assign_text
 from wardloom.operators.sentiment import note_score, score_texts
 from wardloom.plans import sample, tables
-from wardloom.plans.notes import ADMISSION, DISCHARGE, FOLLOW_UP, NoteKind, doctor_notes, filter_notes_type, make_notes
+from wardloom.plans.incremental import Source, load_new_files, newest
+from wardloom.plans.notes import ADMISSION, DISCHARGE, FOLLOW_UP, KINDS, NoteKind, doctor_notes, filter_notes_type, load_notes, make_notes, note_corpora
 from wardloom.plans.tables import TableLoad, rename_columns
 from wardloom.session import fresh_dir
 from wardloom.sinks.report import LoadReport
@@ -86,6 +90,37 @@ def corpus_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _corpus(spark, sf_dir, "\n").records
 
 
+FILE_DOCS = 100  # documents per file of a note folder
+
+
+def _drop_files(docs: DataFrame, folder: str, delimiter: str = "\n") -> None:
+    """Write the documents to text files of FILE_DOCS ids each, in order of id, each with ``delimiter`` after it."""
+    after = "" if delimiter == "\n" else "\n" + delimiter
+    rows = docs.select(F.lpad(F.floor(F.col("doc_id") / FILE_DOCS).cast("string"), 12, "0").alias("part"), "doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(after)).alias("value"))
+    rows.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").mode("append").text(folder)
+
+
+def corpus_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many documents, read in splits and cut at a delimiter that lies in the texts."""
+    folder = fresh_dir(spark, "corpus")
+    _drop_files(_table(spark, sf_dir, "documents"), folder)
+    return corpus_of_folder(spark, folder, ". ").records
+
+
+def corpus_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of files; what the first left keeps its numbers. Draws from the first ``size`` records are those
+    that were possible before the second drop; they have negative numbers here."""
+    docs, folder = _table(spark, sf_dir, "documents"), fresh_dir(spark, "corpus")
+    growing = GrowingCorpus(spark, fresh_dir(spark, "growing"))
+    later = F.pmod(F.floor(F.col("doc_id") / FILE_DOCS), F.lit(2)) == 1
+    _drop_files(docs.filter(~later), folder)
+    first = growing.take_in(folder, "\n")
+    _drop_files(docs.filter(later), folder)
+    growing.take_in(folder, "\n")
+    drawn = assign_text(_table(spark, sf_dir, "customer").select("c_custkey"), ["c_custkey"], "text", growing.corpus(first))
+    return growing.corpus().records.unionByName(drawn.select((-F.col("c_custkey") - 1).alias("idx"), F.col("notes").alias("text")))
+
+
 # -- sinks -----------------------------------------------------------------------------------
 
 
@@ -112,7 +147,7 @@ def _customer_staged(customer: DataFrame) -> DataFrame:
 
 def upsert_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
-    target = _snapshot(spark, "customer").create_if_absent(customer)
+    target = _snapshot(spark, "customer").create_if_absent(customer, bucket_by=["c_custkey"], buckets=tables.BUCKETS)
     target.append(_customer_target(customer))
     target.upsert(_customer_staged(customer), ["c_custkey"])
     return target.read()
@@ -244,12 +279,29 @@ def notes_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doctor_notes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All notes, appended to the ``doctor_notes`` table and read back."""
-    notes = notes_union(spark, sf_dir)
-    target = _snapshot(spark, "doctor_notes").create_if_absent(notes)
-    target.append(notes)
+    target = _snapshot(spark, "doctor_notes")
+    corpora = lambda: {kind: _corpus(spark, sf_dir, delimiter) for kind, delimiter in SAMPLE_DELIMITERS.items()}
+    load_notes(target, _note_users(spark, sf_dir), corpora, lexicon=sample.lexicon(spark), rules=sample.RULES)
+    return target.read()
+
+
+def notes_from_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three note folders with their own delimiters, read and cut; all notes of all users, loaded and read back."""
+    docs, base, target = _table(spark, sf_dir, "documents"), fresh_dir(spark, "landing"), _snapshot(spark, "doctor_notes")
+    for kind in KINDS:
+        _drop_files(docs, f"{base}/{kind.folder}", kind.delimiter)
+    load_notes(target, _note_users(spark, sf_dir), lambda: note_corpora(spark, base), lexicon=sample.lexicon(spark), rules=sample.RULES)
     return target.read()
 
 
+def notes_with_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission notes whose providers are drawn from the provider table."""
+    providers = _table(spark, sf_dir, "supplier").select("s_suppkey")
+    corpus = _corpus(spark, sf_dir, SAMPLE_DELIMITERS[ADMISSION])
+    options = {"lexicon": sample.lexicon(spark), "rules": sample.RULES}
+    return make_notes(_note_users(spark, sf_dir), corpus, ADMISSION, providers=providers, provider_key="s_suppkey", **options)
+
+
 def filter_notes_type_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_notes_type(notes_union(spark, sf_dir), DISCHARGE.label)
 
@@ -275,6 +327,11 @@ def _watch_fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [tables.watch_facts(w, SAMPLE_FACT_COLUMNS) for w in (wearables.filter("brand <> 'R'"), later)]
 
 
+def _monthly_fact_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The facts dated by month, since the table of the job's own spec has a partition per date."""
+    return [df.withColumn("date", F.trunc("date", "month")) for df in _watch_fact_runs(spark, sf_dir)]
+
+
 def _user_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     customers = _customers(spark, sf_dir)
     early, late = customers.filter("year(o_orderdate) < 2001"), customers.filter("year(o_orderdate) >= 2001")
@@ -293,7 +350,8 @@ def _provider_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 LOADS: dict[str, tuple[TableLoad, Runs]] = {
     "load_devices": (tables.DEVICES, _device_runs),
-    "load_watch_facts": (TableLoad("watch_facts", ("user_id", "date")), _watch_fact_runs),
+    "load_watch_facts": (TableLoad("watch_facts", ("user_id", "date"), buckets=tables.BUCKETS), _watch_fact_runs),
+    "load_watch_facts_by_date": (replace(tables.WATCH_FACTS, name="watch_facts_by_date"), _monthly_fact_runs),
     "load_users": (tables.USERS, _user_runs),
     "load_renewal_history": (tables.RENEWAL_HISTORY, _renewal_runs),
     "load_provider": (tables.PROVIDER, _provider_runs),
@@ -322,18 +380,75 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two file drops with overlapping keys; the second carries corrected values."""
+    return _drop_and_stream(spark, sf_dir, reverse=False)
+
+
+def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same drops the other way round: the older values come last, and stand only where there is nothing newer."""
+    return _drop_and_stream(spark, sf_dir, reverse=True)
+
+
+def _drop_and_stream(spark: SparkSession, sf_dir: str, reverse: bool) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     inbox, checkpoint = fresh_dir(spark, "inbox"), fresh_dir(spark, "stream")
-    target = _snapshot(spark, "events").create_if_absent(events)
-    drops = (
-        events.filter("ts < timestamp_ntz'2024-01-20'"),
-        events.filter("ts >= timestamp_ntz'2024-01-10'").withColumn("value", F.col("value") + 1),
-    )
-    for drop in drops:
+    drops = [
+        events.filter("ts < timestamp_ntz'2024-01-20'").withColumn("revision", F.lit(1)),
+        events.filter("ts >= timestamp_ntz'2024-01-10'").withColumns({"value": F.col("value") + 1, "revision": F.lit(2)}),
+    ]
+    target = _snapshot(spark, "events").create_if_absent(drops[0], bucket_by=["event_id"], buckets=tables.BUCKETS)
+    for drop in drops[::-1] if reverse else drops:
         drop.write.mode("append").parquet(inbox)
-        source = spark.readStream.schema(events.schema).parquet(inbox)
-        stream_upsert(source, target, ["event_id"], checkpoint, "events").awaitTermination()
-    return target.read()
+        source = spark.readStream.schema(drop.schema).parquet(inbox)
+        policy = {"on_duplicate": "newest", "order_by": "revision"} if reverse else {}
+        stream_upsert(source, target, ["event_id"], checkpoint, "events", **policy).awaitTermination()
+    return target.read().drop("revision")
+
+
+def _incremental_drops(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFrame]]:
+    """What three drops bring to each source: facts of known users on other days, corrections, another year."""
+    wearables = _wearables(spark, sf_dir).select("user_id", "device_id", "brand", "date", "steps", "calories_burned")
+    corrected = wearables.filter("brand = 'A'").withColumn("steps", F.col("steps") + 1)
+    customers = _renewals_source(spark, sf_dir)
+    supplier = rename_columns(_table(spark, sf_dir, "supplier"), {"s_suppkey": "id"})
+    return {
+        "wearables": [wearables.filter("brand <> 'R'"), wearables.filter("brand = 'R'"), corrected],
+        "customers": [customers.filter("year < 2000"), customers.filter("year >= 1998 and year < 2002"), customers.filter("year >= 2002")],
+        "provider": [supplier.withColumn("s_acctbal", F.lit(0.0)), supplier.filter("s_acctbal >= 0"), supplier.limit(0)],
+    }
+
+
+def incremental_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over the three sources, the last through fresh checkpoints, so that it reads all drops again."""
+    drops, inbox, base = _incremental_drops(spark, sf_dir), fresh_dir(spark, "inbox"), fresh_dir(spark, "warehouse")
+    schemas = {name: T.StructType([*frames[0].schema.fields, T.StructField("load_no", T.IntegerType())]) for name, frames in drops.items()}
+    user_columns, fact_columns = (*SAMPLE_USER_COLUMNS, "load_no"), (*SAMPLE_FACT_COLUMNS, "load_no")
+    loads = {
+        "wearables": (
+            (tables.DEVICES, lambda df: tables.devices(df, (*tables.DEVICE_COLUMNS, "load_no"))),
+            (TableLoad("watch_facts", ("user_id", "date"), buckets=tables.BUCKETS), lambda df: tables.watch_facts(df, fact_columns)),
+        ),
+        "customers": (
+            (tables.USERS, lambda df: tables.users(rename_columns(df, {"plan_type": "o_orderpriority"}), user_columns)),
+            (tables.RENEWAL_HISTORY, lambda df: tables.renewal_history(df, SAMPLE_RENEWAL_COLUMNS, also=("load_no",))),
+        ),
+        "provider": ((tables.PROVIDER, lambda df: df),),
+    }
+    sources = [
+        Source(name, f"{inbox}/{name}", schemas[name], tuple((newest(load, "load_no"), shape) for load, shape in loads[name])) for name in drops
+    ]
+    first, fresh = fresh_dir(spark, "checkpoints"), fresh_dir(spark, "checkpoints")
+    for number, checkpoints in enumerate((first, first, fresh)):
+        for name, frames in drops.items():
+            frames[number].write.parquet(f"{inbox}/{name}/load_no={number}")
+        load_new_files(spark, base, sources, checkpoints)
+    result = None
+    for name in ("devices", "watch_facts", "users", "renewal_history", "provider"):
+        part = SnapshotTable(spark, f"{base}/{name}").read().withColumn("table", F.lit(name))
+        if name in ("devices", "watch_facts"):
+            part = part.withColumn("device_model", F.col("device_model").cast("string"))
+        part = rename_columns(part, {"id": "renewal_id"} if name == "renewal_history" else {})
+        result = part if result is None else result.unionByName(part, allowMissingColumns=True)
+    return result
 
 
 QUERIES: dict[str, Query] = {
@@ -345,6 +460,8 @@ QUERIES: dict[str, Query] = {
     "records_newline": _records("\n"),
     "records_literal_delim": _records(". "),
     "corpus_index": corpus_index,
+    "corpus_folder": corpus_folder,
+    "corpus_growth": corpus_growth,
     "create_empty_table": create_empty_table,
     "append_insert": append_insert,
     "upsert_single_key": upsert_single_key,
@@ -369,9 +486,13 @@ QUERIES: dict[str, Query] = {
     "notes_discharge": _notes(DISCHARGE),
     "notes_union": notes_union,
     "doctor_notes": doctor_notes_query,
+    "notes_from_folders": notes_from_folders,
+    "notes_with_providers": notes_with_providers,
     "filter_notes_type": filter_notes_type_query,
     "count_notes": count_notes,
     **{name: _load(name) for name in LOADS},
     "load_report": load_report,
     "stream_upsert": stream_upsert_query,
+    "stream_late_drop": stream_late_drop,
+    "incremental_job": incremental_job,
 }

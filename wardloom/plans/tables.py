@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.keys import random_id, surrogate_id
 from wardloom.operators.numbering import number_equal_rows
+from wardloom.session import Intermediates
+from wardloom.sinks.jdbc import JdbcTable
 from wardloom.sinks.report import LoadReport
 from wardloom.sinks.snapshot import LoadCounts, SnapshotTable
 from wardloom.sources.incremental import Bookmark
@@ -51,18 +53,20 @@ def users(customers: DataFrame, columns: Sequence[str] = USER_COLUMNS) -> DataFr
     return customers.select(*columns).distinct()
 
 
-def renewal_history(customers: DataFrame, columns: Sequence[str] = RENEWAL_COLUMNS, id_mode: str = "derived") -> DataFrame:
+def renewal_history(
+    customers: DataFrame, columns: Sequence[str] = RENEWAL_COLUMNS, id_mode: str = "derived", also: Sequence[str] = ()
+) -> DataFrame:
     """Renewal facts with a surrogate id.
 
-    The derived id covers all columns and the number of the row among equal ones: unique, and the
+    The derived id covers ``columns`` and the number of the row among equal ones: unique, and the
     same on a rerun, so that a rerun replaces its rows. ``id_mode="random"`` gives fresh ids, with
-    which every load adds its rows.
+    which every load adds its rows. Columns in ``also`` are carried along but are no part of the id.
     """
-    facts = rename_columns(customers, {"id": "user_id"}).select(*columns)
+    facts = rename_columns(customers, {"id": "user_id"}).select(*columns, *also)
     if id_mode == "random":
         return facts.withColumn("id", random_id())
     numbered = number_equal_rows(facts)
-    return numbered.withColumn("id", surrogate_id([F.col(c) for c in numbered.columns])).drop("occurrence")
+    return numbered.withColumn("id", surrogate_id([F.col(c) for c in (*columns, "occurrence")])).drop("occurrence")
 
 
 def with_device(wearables: DataFrame, distinct_devices: DataFrame, keys: Sequence[str] = DEVICE_COLUMNS) -> DataFrame:
@@ -72,33 +76,42 @@ def with_device(wearables: DataFrame, distinct_devices: DataFrame, keys: Sequenc
 
 @dataclass(frozen=True)
 class TableLoad:
-    """A target table, the key it is replaced by, and optionally its partitions."""
+    """A target table, the key it is replaced by, and how it is laid out: by partitions, by buckets of the key, or both."""
 
     name: str
     keys: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
+    buckets: int = 0
     on_duplicate: str = "keep_all"
     order_by: str | None = None
 
     def run(self, spark: SparkSession, base: str, df: DataFrame, report: LoadReport | None = None) -> SnapshotTable:
         """Create the table below ``base`` if it is absent, then upsert ``df``."""
         table = SnapshotTable(spark, f"{base.rstrip('/')}/{self.name}")
+        self.run_into(table, df, report or LoadReport(spark))
+        return table
+
+    def run_into(self, table: SnapshotTable | JdbcTable, df: DataFrame, report: LoadReport) -> None:
+        """The same into any target, such as a table of a database; what is written on the way is deleted at the end."""
 
         def load() -> LoadCounts:
-            table.create_if_absent(df.limit(0), self.partition_by)
-            return table.upsert(df, self.keys, self.on_duplicate, self.order_by)
+            with Intermediates(df.sparkSession):
+                table.create_if_absent(df.limit(0), self.partition_by, self.keys, self.buckets)
+                return table.upsert(df, self.keys, self.on_duplicate, self.order_by)
+
+        report.run(self.name, load)
 
-        (report or LoadReport(spark)).run(self.name, load)
-        return table
 
+# Buckets of a new table; more suit a larger one (``dataclasses.replace(USERS, buckets=4096)``).
+BUCKETS = 16
 
 # Names and load keys. Facts are partitioned by the date in their key, so that a
-# day's load reads and rewrites that day only.
-DEVICES = TableLoad("devices", ("device_model",))
+# day's load reads and rewrites that day only; the other tables are bucketed by theirs.
+DEVICES = TableLoad("devices", ("device_model",), buckets=BUCKETS)
 WATCH_FACTS = TableLoad("watch_facts", ("user_id", "date"), partition_by=("date",))
-USERS = TableLoad("users", ("id",))
-RENEWAL_HISTORY = TableLoad("renewal_history", ("id",))
-PROVIDER = TableLoad("provider", ("id",))
+USERS = TableLoad("users", ("id",), buckets=BUCKETS)
+RENEWAL_HISTORY = TableLoad("renewal_history", ("id",), buckets=BUCKETS)
+PROVIDER = TableLoad("provider", ("id",), buckets=BUCKETS)
 
 
 def load_incremental(
@@ -125,18 +138,27 @@ def load_incremental(
 
 def load_warehouse(
     spark: SparkSession,
-    base: str,
+    base: str | Callable[[str], SnapshotTable | JdbcTable],
     customers: DataFrame,
     wearables: DataFrame,
     provider: DataFrame,
     id_mode: str = "derived",
     report: LoadReport | None = None,
 ) -> LoadReport:
-    """Shape and load all five tables; returns the report. Pass ``report`` in to have its rows also when a load fails."""
+    """Shape and load all five tables; returns the report. Pass ``report`` in to have its rows also when a load fails.
+
+    ``base`` is the folder of the tables, or a function that opens a table by name, for instance
+    ``lambda name: JdbcTable(spark, url, f"public.{name}", options)``.
+    """
     report = report or LoadReport(spark)
-    DEVICES.run(spark, base, devices(wearables), report)
-    WATCH_FACTS.run(spark, base, watch_facts(wearables), report)
-    USERS.run(spark, base, users(customers), report)
-    RENEWAL_HISTORY.run(spark, base, renewal_history(customers, id_mode=id_mode), report)
-    PROVIDER.run(spark, base, provider, report)
+    opened = base if callable(base) else lambda name: SnapshotTable(spark, f"{base.rstrip('/')}/{name}")
+    frames = (
+        (DEVICES, lambda: devices(wearables)),
+        (WATCH_FACTS, lambda: watch_facts(wearables)),
+        (USERS, lambda: users(customers)),
+        (RENEWAL_HISTORY, lambda: renewal_history(customers, id_mode=id_mode)),
+        (PROVIDER, lambda: provider),
+    )
+    for spec, shaped in frames:
+        spec.run_into(opened(spec.name), shaped(), report)
     return report
