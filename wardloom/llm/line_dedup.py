@@ -31,7 +31,8 @@ SIMILARITY = Fraction(4, 5)
 BUCKET_BITS = 18
 CLASSES_PER_DOUBLING = 4  # rarity classes of word buckets
 CLASS_BITS = 8
-HEAD_WORDS = 2  # last words of a prefix by which a line looks for the leader of its near copies
+HEAD_WORDS = 4  # last words of a prefix by which a line looks for the leader of its near copies,
+LENGTH_STEP = 1.25  # among lines of about its size
 
 ID = ("doc_id", "row", "line_no")
 
@@ -92,7 +93,7 @@ def _possible(similarity: Fraction, positions: bool) -> Column:
 
 def _gone(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """``(line)`` numbers of the later lines of those of ``pairs (a, b)`` that are as similar as asked for."""
-    pairs = materialize(pairs.distinct(), "line-pairs")
+    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     wanted = materialize(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct(), "line-ids")
     known = sets.select("line", F.struct(*ID).alias("id"), "words").join(broadcast_if_small(wanted), "line", "left_semi")
     a, b = (known.select(*[F.col(c).alias(f"{side}_{c}") for c in known.columns]) for side in "ab")
@@ -109,30 +110,28 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line")).alias("words")), "line-sets", compression="zstd")
 
     # Lines with equal sets: the earliest stands for all of them.
-    firsts = sets.groupBy(F.xxhash64("words").alias("set_hash"), F.size("words").alias("n"), _parity("words").alias("parity")).agg(F.min(F.struct(*ID, "line")).alias("first"))
-    firsts = materialize(firsts.select("first.line", *[f"first.{c}" for c in ID], "n", "parity"), "first-of-equals")
-    classes = rarity_classes(sets)
-    keyed = sets.select("line", rarest_first("words", classes).alias("keys"))
-    keyed = keyed.select("line", F.expr(f"slice(keys, 1, size(keys) - (size(keys) * {p} + {q - 1}) div {q} + 1)").alias("prefix"))
-    distinct = materialize(keyed.join(broadcast_if_small(firsts), "line").select("line", *ID, "n", "parity", "prefix"), "lines")
+    keys = F.expr(f"slice(keys, 1, size(keys) - (size(keys) * {p} + {q - 1}) div {q} + 1)").alias("prefix")
+    keyed = sets.select("line", *ID, "words", rarest_first("words", rarity_classes(sets)).alias("keys"))
+    firsts = keyed.groupBy(F.xxhash64("words").alias("set_hash"), F.size("words").alias("n"), _parity("words").alias("parity")).agg(F.min(F.struct(*ID, "line", keys)).alias("first"))
+    distinct = materialize(firsts.select("first.line", *[f"first.{c}" for c in ID], "n", "parity", "first.prefix"), "lines")
 
     # Near copies nearly always share one of the last words of their prefixes, and many their size.
     heads = distinct.select("line", F.struct(*ID).alias("id"), "n", "parity", F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(HEAD_WORDS)), HEAD_WORDS)).alias("word"))
-    leaders = heads.groupBy("word", "n").agg(F.min(F.struct("id", "line", "parity")).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
-    leaders = leaders.select("word", "n", "e.line", "e.parity")
-    tried = heads.select("line", "n", "parity", "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.n = e.n and l.line <> e.line")).filter(_possible(similarity, positions=False))
+    heads = heads.withColumn("about", F.round(F.log(LENGTH_STEP, F.col("n"))).cast("int"))
+    leaders = heads.groupBy("word", "about").agg(F.min(F.struct("id", "line", "n", "parity")).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+    leaders = leaders.select("word", "about", "e.line", "e.n", "e.parity")
+    tried = heads.select("line", "n", "about", "parity", "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.about = e.about and l.line <> e.line")).filter(_possible(similarity, positions=False))
     gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
 
     flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
-    asked = distinct.select("line", "n", "parity", "prefix").join(flagged, "line", "left").select("line", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
-    prefixes = asked.select("line", "n", "parity", "open", F.posexplode("prefix").alias("at", "word"))
-    # Both sides are the same rows, so they are shuffled once; a pair of lines already settled is of no use.
-    pairs = prefixes.alias("l").join(prefixes.alias("e"), F.col("l.word") == F.col("e.word")).filter(
-        (F.col("l.line") < F.col("e.line")) & (F.col("l.open") | F.col("e.open")) & _possible(similarity, positions=True)
-    )
+    asked = distinct.join(flagged, "line", "left").select("line", "doc_id", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
+    prefixes = asked.select("line", "doc_id", "n", "parity", "open", F.posexplode("prefix").alias("at", "word"))
+    # Both sides are the same rows, so they are shuffled once. A pair is of use if its later line is still open.
+    later = F.col("l.open") & (F.col("l.line") != F.col("e.line")) & F.coalesce(F.col("l.doc_id") >= F.col("e.doc_id"), F.lit(True))
+    pairs = prefixes.alias("l").join(prefixes.alias("e"), F.col("l.word") == F.col("e.word")).filter(later & _possible(similarity, positions=True))
     also = _gone(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
     gone = gone.union(also).distinct()
-    return firsts.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
+    return distinct.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
