@@ -13,13 +13,16 @@ an empty table gives no rows; columns other than the id and the text are not loo
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +33,7 @@ from wardloom.session import materialize
 MAX_TOKENS = 4096
 END_TOKEN = 1
 CACHED_WORDS = 400_000  # words whose ids a worker remembers, also between tasks; beyond that it starts anew
-CHUNK_BYTES = 1 << 20  # text handled at a time within a worker
+CHUNK_BYTES = 4 << 20  # text handled at a time within a worker
 
 # Words of these letters only are in normal form and lower-cased alike everywhere; of these, the
 # library's model is asked piece by piece. Anything else goes through its whole pipeline.
@@ -52,6 +55,30 @@ def _byte_stand_ins() -> list[str]:
     return [chr(b if b in PRINTABLE_BYTES else next(rest)) for b in range(256)]
 
 
+class _Lists:
+    """Lists of ids, one after another."""
+
+    def __init__(self) -> None:
+        self.ids = np.zeros(0, np.uint32)
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        self.ids = np.concatenate([self.ids, ids])
+        self.start, self.length = np.concatenate([self.start, starts]), np.concatenate([self.length, lengths])
+
+    def add_lists(self, lists: list[list[int]]) -> None:
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.add(np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths)
+
+    def take(self, which: np.ndarray) -> np.ndarray:
+        """The ids of the given lists, in that order."""
+        lengths = self.length[which]
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(self.start[which] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class WordTokenizer:
     """Ids of texts, word by word: this vocabulary drops white space, so no token spans two words."""
 
@@ -61,52 +88,59 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._cut = regex.compile(PIECE).findall
+        self._cut = regex.compile(PIECE + "| ").findall
         self._stand_in = _byte_stand_ins()
         self._reset()
 
     def _reset(self) -> None:
         self._known: dict[bytes, int] = {}
-        self._pieces: dict[str, list[int]] = {}
-        self._ids = np.zeros(0, np.uint32)
-        self._start = np.zeros(0, np.int64)
-        self._length = np.zeros(0, np.int64)
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self._pieces.get(piece)
-        if ids is None:
-            spelled = piece if piece.isascii() else "".join(map(self._stand_in.__getitem__, piece.encode()))
-            ids = self._pieces[piece] = [t.id for t in self._model.tokenize(spelled)]
-        return ids
-
-    def word(self, word: str) -> list[int]:
-        if PLAIN_WORD.fullmatch(word):
-            return [i for piece in self._cut(word.lower()) for i in self._piece(piece)]
-        return self._tokenizer.encode(word, add_special_tokens=False).ids
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        self._words = _Lists()
+        self._piece: dict[str, int] = {" ": 0}
+        self._pieces = _Lists()
+        self._pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))  # a space has no ids
+
+    def _spelled(self, piece: str) -> str:
+        return piece if piece.isascii() else "".join(map(self._stand_in.__getitem__, piece.encode()))
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Add the ids of words. Plain words are cut into pieces together, each behind a space."""
+        words = [w.decode() for w in new]
+        plain = [PLAIN_WORD.fullmatch(w) is not None for w in words]
+        cut = self._cut("".join([" " + w for w, p in zip(words, plain, strict=True) if p]).lower())
+        unmet = list(set(cut).difference(self._piece))
+        tokenize = self._model.tokenize
+        ids = [[t.id for t in tokenize(self._spelled(piece))] for piece in unmet]
+        self._piece.update(zip(unmet, range(len(self._piece), len(self._piece) + len(unmet)), strict=True))
+        self._pieces.add_lists(ids)
+        codes = np.fromiter(map(self._piece.__getitem__, cut), np.int64, len(cut))
+        n = sum(plain)
+        lengths = np.bincount(np.cumsum(codes == 0) - 1, self._pieces.length[codes], n).astype(np.int64) if n else np.zeros(0, np.int64)
+        self._words.add(self._pieces.take(codes), lengths)
+        other = [w for w, p in zip(words, plain, strict=True) if not p]
+        self._words.add_lists([self._tokenizer.encode(w, add_special_tokens=False).ids for w in other])
+        ordered = [w for w, p in zip(new, plain, strict=True) if p] + [w for w, p in zip(new, plain, strict=True) if not p]
+        self._known.update(zip(ordered, range(len(self._known), len(self._known) + len(new)), strict=True))
+
+    def encode(self, texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
         if len(self._known) > CACHED_WORDS:
             self._reset()
-        known, per_text, flat = self._known, [], []
-        for text in texts:
-            found = text.split()
-            per_text.append(len(found))
-            flat += found
-        new = set(flat).difference(known)
+        # Cut and told apart in Arrow; Python sees each word of a chunk once.
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string(), safe=False))
+        flat = lists.flatten().dictionary_encode()
+        found = flat.dictionary.cast(pa.large_binary()).to_pylist()
+        new = [w for w in found if w not in self._known]
         if new:
-            ids = []
-            for w in new:
-                known[w] = len(known)
-                ids.append(self.word(w.decode()))
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            starts = len(self._ids) + np.cumsum(lengths) - lengths
-            self._ids = np.concatenate([self._ids, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))])
-            self._start, self._length = np.concatenate([self._start, starts]), np.concatenate([self._length, lengths])
-        at = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-        lengths = self._length[at]
-        ends = np.cumsum(lengths)
-        ids = self._ids[np.repeat(self._start[at] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+            collects = gc.isenabled()
+            gc.disable()  # much that is small is made here, and no cycles
+            try:
+                self._learn(new)
+            finally:
+                if collects:
+                    gc.enable()
+        at = np.fromiter(map(self._known.__getitem__, found), np.int64, len(found))[flat.indices.to_numpy()]
+        ids, ends = self._words.take(at), np.cumsum(self._words.length[at])
+        per_text = pc.list_value_length(lists).to_numpy()
         borders = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)]
         return ids, np.diff(borders)
 
@@ -130,13 +164,13 @@ def tokenized_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", m
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
         for batch in batches:
-            size = np.diff(np.frombuffer(batch.column(1).cast(pa.large_binary()).buffers()[1], np.int64, len(batch) + 1, batch.column(1).offset * 8)) if len(batch) else np.zeros(0, int)
-            chunk = np.cumsum(size) // CHUNK_BYTES
+            texts = batch.column(1).cast(pa.large_binary())
+            chunk = np.cumsum(pc.binary_length(texts).to_numpy()) // CHUNK_BYTES
             for rows in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(chunk)) + 1):
                 if not len(rows):
                     continue
                 part = batch.slice(int(rows[0]), len(rows))
-                ids, counts = tokenizer.encode(part.column(1).to_pylist())
+                ids, counts = tokenizer.encode(texts.slice(int(rows[0]), len(rows)))
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
                 begin = 0
                 for i, n in enumerate(counts.tolist()):
