@@ -14,7 +14,8 @@ last words of its prefix. Pairs of which this leaves neither line open are not m
 large group of near copies does not become all its pairs.
 
 Defined results: NULL texts stay NULL, blank lines always stay, rows equal in every column are one
-document and keep the same lines; a text that loses all its lines becomes empty.
+document and keep the same lines; a text that loses all its lines becomes empty. A NULL id comes before all others; two
+texts under one id are two documents, in the order of their ``row``.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ ID = ("doc_id", "row", "line_no")
 
 
 def row_key(docs: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    # The hash passes over NULLs, so each column says whether it is one.
+    return F.xxhash64(*[part for c in docs.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
 
 
 def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -138,9 +140,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     """``docs`` with the text cut down to its first lines, and ``lines_removed``."""
     names = docs.columns
     stay = first_lines(docs, text, similarity).groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("line_no")).alias("_ld_stay"))
-    stay = materialize(stay.select(F.col("row").alias("_ld_row"), "_ld_stay"), "first-lines")
-    cut = docs.select("*", row_key(docs).alias("_ld_row"), F.split(F.col(text), "\n", -1).alias("_ld_lines"))
-    joined = cut.join(broadcast_if_small(stay), "_ld_row", "left")
+    stay = materialize(stay.select(F.col("row").alias("_ld_row"), F.col("doc_id").alias("_ld_id"), "_ld_stay"), "first-lines")
+    cut = docs.select("*", row_key(docs).alias("_ld_key"), F.split(F.col(text), "\n", -1).alias("_ld_lines"))
+    # A hash may be that of another document; with the id as well it stands for one.
+    joined = cut.join(broadcast_if_small(stay), (F.col("_ld_key") == F.col("_ld_row")) & F.col("doc_id").eqNullSafe(F.col("_ld_id")), "left")
     blank = F.filter(F.transform("_ld_lines", lambda s, i: F.when(trimmed(s) == "", i)), lambda i: i.isNotNull())
     joined = joined.select(*[F.col(f"`{c}`") for c in names], "_ld_lines", F.sort_array(F.concat(F.coalesce("_ld_stay", F.array().cast("array<int>")), blank)).alias("_ld_stay"))
     kept = F.when(F.col(text).isNotNull(), F.array_join(F.transform("_ld_stay", lambda i: F.get("_ld_lines", i)), "\n"))

@@ -14,7 +14,7 @@ empty table gives an empty mix.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -182,7 +182,9 @@ class Mix:
 
     def shards(self) -> DataFrame:
         """``(shard, slot, source_no, pieces, text)``: the mixed blocks, each the joined words of its pieces."""
-        spans = self.spans().join(_texts(self.docs), "row").withColumn("piece", _words_from(F.col("text"), F.col("begin"), F.col("words")))
+        lent = self.spans().groupBy("row").agg(F.collect_list(F.struct("source_no", "block", "start", "begin", "words")).alias("runs"))
+        cut = _cut_once(F.col("text"), lambda tokens: F.transform("runs", lambda r: r.withField("piece", _words_from(tokens, r["begin"], r["words"]))))
+        spans = lent.join(_texts(self.docs), "row").select("row", F.inline(cut))
         blocks = spans.groupBy("source_no", "block").agg(F.sort_array(F.collect_list(F.struct("start", "row", "begin", "words", "piece"))).alias("pieces"))
         filled = self.slots.join(blocks, ["source_no", "block"])
         return filled.select("shard", "slot", "source_no", F.transform("pieces", lambda p: p.dropFields("piece", "start")).alias("pieces"), F.array_join(F.transform("pieces", lambda p: p["piece"]), " ").alias("text"))
@@ -198,22 +200,28 @@ class Mix:
         runs = runs.groupBy("row", "source_no", "start", "pass").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("begin", "words"))).alias("runs"))
         runs = runs.join(self.placed.filter("size > 0").select("source_no", "start", "size"), ["source_no", "start"])
         runs = runs.select("row", (F.col("words") == F.col("size")).alias("whole"), "runs")
-        part = F.array_join(F.transform("runs", lambda r: _words_from(F.col("_mix_doc.text"), r["begin"], r["words"])), "")
+        part = _cut_once(F.col("_mix_doc.text"), lambda tokens: F.array_join(F.transform("runs", lambda r: _words_from(tokens, r["begin"], r["words"])), ""))
         text = F.when(F.col("whole"), F.col("_mix_doc.text")).otherwise(part)
         joined = _texts(self.docs, whole=True).join(runs, "row").withColumn("_mix_text", text)
         made = {"text": F.col("_mix_text")} | ({"n_chars": F.length("_mix_text").cast("long")} if "n_chars" in names else {})
         return joined.select(*[made.get(c, F.col(f"_mix_doc.`{c}`")).alias(c) for c in names])
 
 
-def _words_from(text: Column, begin: Column, n: Column) -> Column:
-    """``n`` words of ``text`` from number ``begin`` on, with the white space that follows each."""
+def _cut_once(text: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the words of ``text``, each with the white space that follows it; however often they are used, the text is cut once."""
     tokens = F.split(F.regexp_replace(text, "^" + SPACE, ""), AFTER_SPACE)
+    return F.transform(F.array(tokens), use)[0]
+
+
+def _words_from(tokens: Column, begin: Column, n: Column) -> Column:
+    """``n`` words from number ``begin`` on, with the white space that follows each."""
     return F.array_join(F.slice(tokens, (begin + 1).cast("int"), n.cast("int")), "")
 
 
 def row_key(docs: DataFrame) -> Column:
     """What tells rows apart; rows equal in every column share it."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    # The hash passes over NULLs, so each column says whether it is one.
+    return F.xxhash64(*[part for c in docs.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
 
 
 def _texts(docs: DataFrame, whole: bool = False) -> DataFrame:
