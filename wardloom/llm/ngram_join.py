@@ -33,6 +33,7 @@ SIMILARITY = 0.8
 RECALL = 0.99999  # of pairs exactly at the similarity; pairs above it are found more surely
 MAX_HASHES = 128
 CACHED_WORDS = 1_000_000
+CHUNK_SHINGLES = 1 << 14  # n-grams hashed together, so that they stay in a core's cache
 BLOCK_SHINGLES = 300_000  # n-grams and
 BLOCK_CLASSES = 1_500  # classes expected at most in one block of a candidate group
 
@@ -86,14 +87,28 @@ def _signatures(bands: int, rows: int) -> np.ndarray:
     return rng.integers(1, 2**63, size=bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _band_hashes(shingles: np.ndarray, factors: np.ndarray, rows: int) -> np.ndarray:
-    lows = np.empty(len(factors), np.uint64)
-    for k, factor in enumerate(factors):
-        x = shingles * factor
-        lows[k] = (x ^ (x >> np.uint64(32))).min()
-    out = np.zeros(len(factors) // rows, np.uint64)
-    for k in range(rows):
-        out = _mix((out ^ lows[k::rows]) * _GOLD)
+def _band_hashes(sets: list[np.ndarray], factors: np.ndarray, rows: int) -> np.ndarray:
+    """The band hashes of each of some non-empty sets, a row a set; sets are taken together, CHUNK_SHINGLES at a time."""
+    out = np.zeros((len(sets), len(factors) // rows), np.uint64)
+    ends = np.cumsum([len(s) for s in sets])
+    begin = 0
+    while begin < len(sets):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + CHUNK_SHINGLES, "right")))
+        x = np.concatenate(sets[begin:end])
+        starts = np.append(0, ends[begin : end - 1] - before)
+        lows = np.empty((len(factors), end - begin), np.uint64)
+        mixed, high = np.empty_like(x), np.empty_like(x)
+        for k, factor in enumerate(factors):
+            np.multiply(x, factor, out=mixed)
+            np.right_shift(mixed, np.uint64(32), out=high)
+            np.bitwise_xor(mixed, high, out=mixed)
+            np.minimum.reduceat(mixed, starts, out=lows[k])
+        bands = np.zeros((len(factors) // rows, end - begin), np.uint64)
+        for k in range(rows):
+            bands = _mix((bands ^ lows[k::rows]) * _GOLD)
+        out[begin:end] = bands.T
+        begin = end
     return out
 
 
@@ -109,14 +124,20 @@ def signatures(docs: DataFrame, n: int, similarity: float, recall: float) -> Dat
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
-            set_hash, count, band = [], [], []
+            set_hash, count, found, held, hashed = [], [], [], 0, [np.zeros((0, bands), np.uint64)]
             for text in batch.column(1).to_pylist():
                 s = shingler.shingles(text)
                 set_hash.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 count.append(len(s))
-                band.append(_as_long(_band_hashes(s, factors, rows)) if len(s) else np.zeros(0, np.int64))
-            ends = np.cumsum([0, *map(len, band)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *band])))
+                if len(s):
+                    found.append(s)
+                    held += len(s)
+                if held > 16 * CHUNK_SHINGLES:
+                    hashed.append(_band_hashes(found, factors, rows))
+                    found, held = [], 0
+            hashed.append(_band_hashes(found, factors, rows))
+            ends = np.cumsum([0, *(bands * (n > 0) for n in count)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_as_long(np.concatenate(hashed).ravel())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set_hash, pa.binary()), pa.array(count, pa.int64()), lists], names=["doc", "set_hash", "shingles", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
