@@ -116,19 +116,23 @@ def _hits(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, rule
     A token is exploded with its neighbours, ``b1 b2 b3`` before and ``a1 a2`` after the token ``w``,
     so that no row of the join carries an array of words.
     """
-    last = F.least(F.col("_start") + CHUNK, F.col("_n")) - 1
-
-    def token(at: Column) -> Column:
-        def word(shift: int) -> Column:
-            return F.get("_words", at - F.col("_first") + shift)
-
-        near = [word(-i).alias(f"b{i}") for i in range(1, BEFORE + 1)] + [word(i).alias(f"a{i}") for i in range(1, AFTER + 1)]
-        return F.struct(at.alias("at"), word(0).alias("w"), *near)
-
-    tokens = _chunked(texts, id_col, text_col, rules).select(
-        "_id", *TEXT_FACTS, "_mixed_caps", "_contrast", F.explode_outer(F.transform(F.sequence(F.col("_start"), last), token)).alias("_token"),
-    )
-    tokens = tokens.select("_id", *TEXT_FACTS, "_mixed_caps", "_contrast", "_token.*")
+    # The words shifted by each distance, side by side; where a neighbour is missing, there is none.
+    length = F.least(F.lit(CHUNK), F.col("_n") - F.col("_start"))
+    at = F.sequence(F.col("_start"), F.col("_start") + length - 1)
+    missing = F.lit(BEFORE) - (F.col("_start") - F.col("_first"))
+    padded = _chunked(texts, id_col, text_col, rules).select(
+        "_id", *TEXT_FACTS, "_mixed_caps", "_contrast", at.alias("_at"), length.alias("_length"),
+        F.concat(F.array_repeat(F.lit(None).cast("string"), missing), "_words").alias("_words"),
+    )
+
+    def shifted(by: int) -> Column:
+        return F.slice("_words", BEFORE + 1 + by, F.col("_length"))
+
+    sides = [(f"b{i}", -i) for i in range(1, BEFORE + 1)] + [(f"a{i}", i) for i in range(1, AFTER + 1)]
+    near = [shifted(by).alias(name) for name, by in sides]
+    lists = padded.select("_id", *TEXT_FACTS, "_mixed_caps", "_contrast", F.col("_at").alias("at"), shifted(0).alias("w"), *near)
+    names = ["at", "w", *(name for name, _ in sides)]
+    tokens = lists.select("_id", *TEXT_FACTS, "_mixed_caps", "_contrast", F.inline_outer(F.arrays_zip(*names)))
     found = tokens.join(lexicon, F.lower("w") == F.col("token"), "left")
     return found.filter(F.col("valence").isNotNull() | F.coalesce(F.col("at") == 0, F.lit(True))).drop("token")
 
@@ -155,26 +159,25 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
         known = lexicon.select(F.col("token").alias("_token"))  # the same three times: broadcast once
         hits = hits.join(known, F.lower(f"b{i}") == F.col("_token"), "left").withColumnRenamed("_token", f"_known{i}")
 
-    def judge(word: Column, known: Column) -> Column:
+    def judged_as(i: int) -> dict[str, Column]:
         """What a preceding word does; one that is in the lexicon itself does nothing."""
-        lower, acts = F.lower(word), word.isNotNull() & known.isNull()
+        word, lower = F.col(f"b{i}"), F.lower(f"b{i}")
+        acts = word.isNotNull() & F.col(f"_known{i}").isNull()
         step = F.when(lower.isin(list(rules.intensifiers)), F.lit(fixed.BOOST_UP)).when(
             lower.isin(list(rules.dampeners)), F.lit(fixed.BOOST_DOWN)
         )
         negates = lower.isin(list(rules.negations)) | lower.contains(rules.negation_part)
-        return F.struct(
-            acts.alias("acts"),
-            F.when(acts, step).alias("boost"),
-            (_is_caps(word) & F.col("_mixed_caps")).alias("loud"),
-            F.coalesce(negates, F.lit(False)).alias("negates"),
-        )
+        return {
+            f"_acts{i}": acts,
+            f"_boost{i}": F.when(acts, step),
+            f"_loud{i}": _is_caps(word) & F.col("_mixed_caps"),
+            f"_negates{i}": F.coalesce(negates, F.lit(False)),
+        }
 
-    before = [f"b{i}" for i in range(1, BEFORE + 1)]
-    known = [f"_known{i}" for i in range(1, BEFORE + 1)]
-    judged = hits.withColumn("_near", F.zip_with(F.array(*before), F.array(*known), judge))
+    judged = hits.withColumns({name: value for i in range(1, BEFORE + 1) for name, value in judged_as(i).items()})
 
     def near(i: int, field: str) -> Column:
-        return F.col("_near")[i - 1][field]
+        return F.col(f"_{field}{i}")
 
     def negation(i: int) -> Column:
         return F.when(near(i, "negates"), F.lit(fixed.NEGATION_SCALE)).otherwise(1.0)
@@ -187,17 +190,7 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
         F.when((F.col("b2") == rules.never) & follower(1), F.lit(fixed.NEVER_SCALE_NEAR)).otherwise(negation(2)),
         F.when(((F.col("b3") == rules.never) & follower(2)) | follower(1), F.lit(fixed.NEVER_SCALE_FAR)).otherwise(negation(3)),
     )
-    steps = F.array(
-        *[
-            F.struct(
-                near(i, "boost").alias("boost"),
-                near(i, "loud").alias("loud"),
-                F.lit(damping).alias("damping"),
-                F.when(near(i, "acts"), scale).otherwise(1.0).alias("scale"),
-            )
-            for i, (damping, scale) in enumerate(zip(fixed.DISTANCE_DAMPING, scales, strict=True), start=1)
-        ]
-    )
+    steps = {f"_scale{i}": F.when(near(i, "acts"), scale).otherwise(1.0) for i, scale in enumerate(scales, start=1)}
 
     # The last phrase that looks on wins, then the first one that looks back.
     phrases = ("w a1 a2", "w a1", "b1 w", "b2 b1 w", "b2 b1", "b3 b2 b1", "b3 b2")
@@ -214,20 +207,23 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
         *kept,
         # NULL for a word that is not in the lexicon, or that only modifies others.
         F.when(~modifier, valence + F.when(loud, _away_from_zero(valence)).otherwise(0.0)).alias("_v"),
-        steps.alias("_steps"),
+        *[near(i, field) for i in range(1, BEFORE + 1) for field in ("boost", "loud")],
+        *[scale.alias(name) for name, scale in steps.items()],
         idiom.alias("_idiom"),
         F.when(near(3, "acts") & pair, F.lit(fixed.BOOST_DOWN)).otherwise(0.0).alias("_pair"),
         F.when(least, F.lit(fixed.NEGATION_SCALE)).otherwise(1.0).alias("_least"),
     )
 
-    def apply(v: Column, step: Column) -> Column:
-        """A booster pushes the valence away from zero or towards it, then a negation scales it."""
-        signed = F.when(v < 0, -step["boost"]).otherwise(step["boost"]) + F.when(step["loud"], _away_from_zero(v)).otherwise(0.0)
-        return (v + F.coalesce(signed * step["damping"], F.lit(0.0))) * step["scale"]
+    # A booster pushes the valence away from zero or towards it, then a negation scales it; nearest word first.
+    stepped = ruled
+    for i, damping in enumerate(fixed.DISTANCE_DAMPING, start=1):
+        v, boost = F.col("_v"), near(i, "boost")
+        signed = F.when(v < 0, -boost).otherwise(boost) + F.when(near(i, "loud"), _away_from_zero(v)).otherwise(0.0)
+        stepped = stepped.withColumn("_v", (v + F.coalesce(signed * damping, F.lit(0.0))) * F.col(f"_scale{i}"))
 
-    final = (F.coalesce("_idiom", F.aggregate("_steps", F.col("_v"), apply)) + F.col("_pair")) * F.col("_least")
+    final = (F.coalesce("_idiom", "_v") + F.col("_pair")) * F.col("_least")
     value = F.when(F.col("_v").isNull(), F.lit(0.0)).otherwise(final)
-    return ruled.select(*kept, F.floor(value * SCALE + 0.5).cast("long").alias("_s"))
+    return stepped.select(*kept, F.floor(value * SCALE + 0.5).cast("long").alias("_s"))
 
 
 def score_texts(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, rules: Rules = Rules()) -> DataFrame:
