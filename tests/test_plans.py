@@ -6,6 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from wardloom.plans import notes
 from wardloom.plans import queries as q
 from wardloom.session import broadcast_if_small, shared_dir
 from wardloom.sources.incremental import Bookmark
@@ -43,6 +44,17 @@ def test_one_label_reads_one_corpus(spark):
     assert kept.count("Union") < plan(q.notes_union(spark, SF_DIR)).count("Union")
 
 
+def test_texts_are_partitioned_once_for_scores_and_notes(spark, monkeypatch):
+    default = sorted(map(tuple, q.notes_union(spark, SF_DIR).collect()))
+    monkeypatch.setattr(notes, "FEW_RECORDS", 0)
+    union = q.notes_union(spark, SF_DIR)
+    text = plan(union)
+    assert "hashpartitioning(note" in text
+    for shuffled in ("hashpartitioning(_id", "hashpartitioning(w"):
+        assert shuffled not in text
+    assert sorted(map(tuple, union.collect())) == default
+
+
 def test_broadcast_only_below_the_bound(spark):
     small = spark.range(10).withColumn("s", F.lit("x"))
     assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().logical().toString().lower()

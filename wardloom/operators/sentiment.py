@@ -85,6 +85,8 @@ def _chunked(texts: DataFrame, id_col: str, text_col: str, rules: Rules) -> Data
     A text without tokens, or NULL, keeps one row.
     """
     words = F.col("_words")
+    # Most texts do not hold the contrast word at all; only then are their tokens looked through for it.
+    contrasted = F.contains(F.lower("_spaced"), F.lit(rules.contrast)) if rules.contrast.isascii() else F.lit(True)
     # One projection per step: each value is computed once per text, before its tokens fan out.
     facts = (
         texts.select(
@@ -93,12 +95,12 @@ def _chunked(texts: DataFrame, id_col: str, text_col: str, rules: Rules) -> Data
             _count_char(F.col(text_col), "!").alias("_exclamations"),
             _count_char(F.col(text_col), "?").alias("_questions"),
         )
-        .select("_id", _tokens(F.col("_spaced")).alias("_words"), "_exclamations", "_questions")
+        .select("_id", _tokens(F.col("_spaced")).alias("_words"), "_exclamations", "_questions", contrasted.alias("_contrasted"))
         .select(
-            "*",
+            "_id", "_words", "_exclamations", "_questions",
             F.array_size(words).alias("_n"),
             (F.exists(words, _is_caps) & F.exists(words, lambda w: ~_is_caps(w))).alias("_mixed_caps"),
-            F.array_position(F.transform(words, F.lower), rules.contrast).alias("_contrast"),
+            F.when(F.col("_contrasted"), F.array_position(F.transform(words, F.lower), rules.contrast)).otherwise(0).alias("_contrast"),
         )
     )
     starts = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1, F.lit(CHUNK)))

@@ -35,6 +35,8 @@ FOLLOW_UP = NoteKind("follow_up_notes", "notes/admission_follow_up/", FOLLOW_UP_
 DISCHARGE = NoteKind("discharge_notes", "notes/discharge_notes/", DISCHARGE_DELIMITER, one_line=True)
 KINDS = (ADMISSION, FOLLOW_UP, DISCHARGE)
 
+FEW_RECORDS = 1 << 16  # a corpus with fewer may have hot records
+
 NOTE_COLUMNS = ("user_id", "notes", "provider_id", "notes_pos_sentiment", "id", "notes_type")
 
 
@@ -68,37 +70,44 @@ def doctor_notes(
     who_columns = [F.col(c) for c in who]
     numbered = materialize(number_equal_rows(users.select(F.col(user_key).alias("user_id"))), "users")
 
-    draws, records, begin = [], [], 0
+    draws, records, kinds, begin = [], [], [], 0
     for kind, corpus in corpora.items():
         salt = kind.label + seed
         picked = with_pick(numbered, who, salt, corpus)
         records.append(corpus.drawn(picked.select("idx").distinct()).select((F.col("idx") + begin).alias("note"), "text"))
-        # Providers are drawn while the rows are narrow, before the texts join them.
-        noted = picked.select(*who, (F.col("idx") + begin).alias("note"))
-        if providers is None:
-            treated = noted.withColumn("provider_id", provider_pick(who_columns, "provider|" + salt))
-        else:
-            treated = assign_key(noted, who, "provider|" + salt, providers, provider_key, "provider_id")
-        draws.append(treated.select(*who, "provider_id", "note", F.lit(kind.label).alias("notes_type"), F.lit(kind.one_line).alias("_one_line")))
+        # Draws are shuffled while they are narrow: providers from the number range are drawn after it.
+        noted = picked.select(*who, (F.col("idx") + begin).alias("note"), F.lit(kind.label).alias("notes_type"))
+        draws.append(noted if providers is None else assign_key(noted, who, "provider|" + salt, providers, provider_key, "provider_id"))
         begin += corpus.size
-    used = materialize(_union(records), "drawn-notes")
+        kinds.append((begin, kind, provider_pick(who_columns, "provider|" + salt)))
 
+    # Partitioned by note once: a text is scored where it lies, so that its hits are not shuffled, and is joined there.
+    used = _union(records).repartition("note")
     if scorer is not None:
         scored = used.withColumn("notes_pos_sentiment", scorer(F.col("text")))
     else:
         scores = score_texts(used, "note", "text", lexicon, rules)
         scored = used.join(scores.select("note", note_score().alias("notes_pos_sentiment")), "note")
+    text = F.col("text")
+    stored = _of_kind([(end, strip_newlines(text) if kind.one_line else text) for end, kind, _ in kinds])
+    scored = scored.select("note", stored.alias("notes"), "notes_pos_sentiment")
+    if min(corpus.size for corpus in corpora.values()) < FEW_RECORDS:
+        # Many users draw the same few records: written, these are broadcast, or their draws split by adaptive execution.
+        scored = materialize(scored, "scored-notes")
 
     notes = _union(draws).join(scored, "note")
+    if providers is None:
+        notes = notes.withColumn("provider_id", _of_kind([(end, provider) for end, _, provider in kinds]))
     identity = random_id() if id_mode == "random" else surrogate_id([*who_columns, F.concat("notes_type", F.lit(seed))])
-    return notes.select(
-        "user_id",
-        F.when(F.col("_one_line"), strip_newlines(F.col("text"))).otherwise(F.col("text")).alias("notes"),
-        "provider_id",
-        "notes_pos_sentiment",
-        identity.alias("id"),
-        "notes_type",
-    )
+    return notes.select("user_id", "notes", "provider_id", "notes_pos_sentiment", identity.alias("id"), "notes_type")
+
+
+def _of_kind(values: list[tuple[int, Column]]) -> Column:
+    """The value for the kind of a note, given where the numbers of each kind end."""
+    chosen = values[-1][1]
+    for end, value in values[-2::-1]:
+        chosen = F.when(F.col("note") < end, value).otherwise(chosen)
+    return chosen
 
 
 def make_notes(users: DataFrame, corpus: Corpus, kind: NoteKind, **options) -> DataFrame:
