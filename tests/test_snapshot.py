@@ -177,3 +177,15 @@ def test_owner_keeps_what_is_still_read(spark):
 def test_width_counts_what_nested_values_hold(spark):
     df = spark.range(100).select(F.array_repeat(F.lit(1), 1000).alias("a"), F.create_map(F.lit("k"), F.struct(F.array(F.lit("x" * 500)).alias("s"))).alias("m"), F.lit(None).cast("array<string>").alias("n"))
     assert is_small(df, 3_000_000) and not is_small(df.select("a"), 1_500_000) and not is_small(df.select("m"), 50_000) and is_small(df.select("n"), 5_000)
+
+
+def test_newest_into_an_empty_table_writes_no_staged_copy(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(1, 1, "old"), (1, 2, "new"), (None, 1, "none")], "k int, load_no int, v string")
+    table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(rows, bucket_by=["k"], buckets=2)
+    written = []
+    monkeypatch.setattr("wardloom.sinks.snapshot.materialize", lambda df, label: written.append(label) or materialize(df, label))
+    assert table.upsert(rows, ["k"], "newest", "load_no").rows_in == 2
+    assert not written
+    table.upsert(rows.filter("v = 'old'"), ["k"], "newest", "load_no")
+    assert "staged" in written
+    assert {(r.k, r.v) for r in table.read().collect()} == {(1, "new"), (None, "none")}

@@ -120,7 +120,7 @@ class SnapshotTable:
         number, state = self._state()
         staged = resolve_duplicates(self._aligned(df, state), keys, on_duplicate, order_by)
         with Intermediates(self.spark):
-            if on_duplicate == "newest":
+            if on_duplicate == "newest" and state["dirs"]:
                 staged = self._not_older(staged, state, keys, order_by)
             load = uuid.uuid4().hex
             staged_dirs, rows_in = self._write(staged, state, load)
