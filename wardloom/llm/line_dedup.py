@@ -1,11 +1,12 @@
 """Line dedup: an exact set-similarity join over the lines of a corpus, with built-in functions only.
 
-A line is the set of its words, held as 64-bit hashes, which are written once: counts, prefixes and
-verification read them and never the texts again. Words are ordered by rarity: their hashes fall into
-2^18 buckets, whose line counts over the whole corpus give each a class, and a word's key is that class
-followed by the rest of its hash. Lines with equal sets collapse first. Of the others only a prefix
-of the rarest words is joined; length, position and a parity bitmap of the set rule out nearly all
-pairs inside the join, and the rest are verified on their full word sets.
+A line is the set of its words, held as 64-bit keys, which are written once: prefixes and verification read
+them and never the texts again. A key is the hash of a word whose first bits, the word's bucket, are replaced
+by the rank of that bucket among all 2^18 by the words it has over the whole corpus: keys are as distinct as
+hashes, and in their order rare words come first. Lines with equal sets collapse first. Of the others only a
+prefix of the rarest words is joined, one part of all words after another; length, position and a parity
+bitmap of the set, wider for larger sets, rule out nearly all pairs inside the join, and the rest are verified
+on their full word sets.
 
 A line goes if an earlier line, in order of ``(doc_id, row, line number)``, has Jaccard similarity at
 or above the threshold; ``row`` is a hash of the document's columns. It is enough to find one such
@@ -21,6 +22,7 @@ texts under one id are two documents, in the order of their ``row``.
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,15 @@ from wardloom.session import broadcast_if_small, materialize
 
 SIMILARITY = Fraction(4, 5)
 BUCKET_BITS = 18
-CLASSES_PER_DOUBLING = 4  # rarity classes of word buckets
-CLASS_BITS = 8
+HASH_BITS = 64 - BUCKET_BITS
+NARROW = 48  # sets up to this size have a bitmap of 64 bits,
+WIDE = 4  # larger ones one of so many times 64
+WORD_PARTS = 5  # the words of prefixes are joined in so many parts, one after another
 HEAD_WORDS = 4  # last words of a prefix by which a line looks for the leader of its near copies,
 LENGTH_STEP = 1.25  # among lines of about its size
 
 ID = ("doc_id", "row", "line_no")
+BITMAP = tuple(f"bits{i}" for i in range(WIDE))
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -53,36 +58,49 @@ def trimmed(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
+def split_words(text: Column) -> Column:
+    """The words of a text and perhaps empty strings; cut at a plain blank, which needs no regular expression."""
+    others = "\t\n\x0b\x0c\r"
+    odd = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in others])
+    return F.split(F.when(odd, F.translate(text, others, " " * len(others))).otherwise(text), " ")
+
+
 def _bucket(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")
+    return F.shiftrightunsigned(h, HASH_BITS)
+
 
+def bucket_masks(docs: DataFrame, text: str) -> Column:
+    """Array literal: for each word bucket what turns it, by an exclusive or, into its rank by words in the corpus.
 
-def rarity_classes(sets: DataFrame) -> Column:
-    """Array literal: for each word bucket a class that grows with the lines it is in. Its size is fixed."""
-    size = 1 << BUCKET_BITS
-    seen = sets.select(F.explode("words").alias("w")).groupBy(_bucket(F.col("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    every = seen.unionByName(sets.sparkSession.range(size).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n")))
-    classes = every.groupBy("bucket").agg(F.least(F.round(F.log2(F.sum("n") + 1) * CLASSES_PER_DOUBLING), F.lit((1 << CLASS_BITS) - 1)).cast("int").alias("class"))
+    Ranks are a permutation of the buckets, with the top bit flipped since keys are signed. The size is fixed.
+    """
+    size, top = 1 << BUCKET_BITS, 1 << (BUCKET_BITS - 1)
+    found = docs.select(F.explode(split_words(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w")).filter("w <> ''")
+    seen = found.groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    every = seen.unionByName(docs.sparkSession.range(size).select(F.col("id").alias("bucket"), F.lit(0).cast("long").alias("n")))
     # One row per bucket, however large the corpus: the list has 2^18 numbers.
-    listed = classes.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "class"))), lambda b: b["class"].cast("string")), ",")).first()[0]
+    listed = every.groupBy("bucket").agg(F.sum("n").alias("n")).agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("by_rank"))
+    masks = F.sort_array(F.transform("by_rank", lambda b, rank: F.struct(b["bucket"], rank.bitwiseXOR(F.lit(top)).bitwiseXOR(b["bucket"]).alias("mask"))))
+    listed = listed.select(F.array_join(F.transform(masks, lambda b: b["mask"].cast("string")), ",")).first()[0]
     return F.expr(f"cast(split('{listed}', ',') as array<int>)")
 
 
-def word_set(line: Column) -> Column:
-    """The distinct words of a trimmed line as sorted hashes."""
-    return F.sort_array(F.array_distinct(F.transform(F.split(line, SPACE), lambda w: F.xxhash64(w))))
+def word_set(line: Column, masks: Column) -> Column:
+    """The distinct words of a trimmed line as sorted keys, rarest first."""
+    hashes = F.array_remove(F.array_distinct(F.transform(split_words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    return F.sort_array(F.transform(hashes, lambda h: h.bitwiseXOR(F.shiftleft(F.get(masks, _bucket(h).cast("int")).cast("long"), HASH_BITS))))
 
 
-def rarest_first(hashes: str, classes: Column) -> Column:
-    """The words of a set as keys, rarest first: the class of the bucket, then the rest of the hash."""
-    rest = (1 << (64 - CLASS_BITS)) - 1
-    half = 1 << (CLASS_BITS - 1)
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft((F.get(classes, _bucket(h)) - half).cast("long"), 64 - CLASS_BITS).bitwiseOR(h.bitwiseAND(rest))))
+def _bitmap(keys: str, n: str) -> list[Column]:
+    """Bitmap in which every word flips one bit, so that it differs in no more bits than the sets in words; 64 bits of a small set, else all."""
+    narrow = F.expr(f"aggregate({keys}, 0L, (a, k) -> a ^ shiftleft(1L, cast(k & 63 as int)))")
+    wide = [F.expr(f"aggregate({keys}, 0L, (a, k) -> if((shiftright(k, 6) & {WIDE - 1}) = {i}, a ^ shiftleft(1L, cast(k & 63 as int)), a))") for i in range(WIDE)]
+    return [F.when(F.col(n) > NARROW, bits).otherwise(F.lit(0).cast("long") if i else narrow).alias(BITMAP[i]) for i, bits in enumerate(wide)]
 
 
-def _parity(keys: str) -> Column:
-    """64-bit bitmap in which every word flips one bit: it differs in no more bits than the sets in words."""
-    return F.expr(f"aggregate({keys}, 0L, (a, k) -> a ^ shiftleft(1L, cast(k & 63 as int)))")
+def _folded(side: str) -> str:
+    """The bitmap as one of 64 bits, whichever width it has."""
+    return "(" + " ^ ".join(f"{side}.{c}" for c in BITMAP) + ")"
 
 
 def _possible(similarity: Fraction, positions: bool) -> Column:
@@ -90,7 +108,10 @@ def _possible(similarity: Fraction, positions: bool) -> Column:
     p, q = similarity.numerator, similarity.denominator
     need = f"(((l.n + e.n) * {p} + {p + q - 1}) div {p + q})"
     place = f" and least(l.n - l.at, e.n - e.at) >= {need}" if positions else ""
-    return F.expr(f"least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p} and bit_count(l.parity ^ e.parity) <= l.n + e.n - 2 * {need}{place}")
+    most = f"l.n + e.n - 2 * {need}"
+    bits = " + ".join(f"bit_count(l.{c} ^ e.{c})" for c in BITMAP)
+    wide = f" and (least(l.n, e.n) <= {NARROW} or {bits} <= {most})"
+    return F.expr(f"least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p}{place} and bit_count({_folded('l')} ^ {_folded('e')}) <= {most}{wide}")
 
 
 def _gone(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -109,29 +130,35 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     """``(doc_id, row, line_no)`` of the lines that stay: those without a similar earlier line."""
     p, q = similarity.numerator, similarity.denominator
     lines = lines_of(docs, text).select(*ID, trimmed(F.col("line")).alias("line")).filter("line <> ''")
-    sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line")).alias("words")), "line-sets", compression="zstd")
+    masks = bucket_masks(docs, text)
+    sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line"), masks).alias("words")), "line-sets", compression="zstd")
 
     # Lines with equal sets: the earliest stands for all of them.
-    keys = F.expr(f"slice(keys, 1, size(keys) - (size(keys) * {p} + {q - 1}) div {q} + 1)").alias("prefix")
-    keyed = sets.select("line", *ID, "words", rarest_first("words", rarity_classes(sets)).alias("keys"))
-    firsts = keyed.groupBy(F.xxhash64("words").alias("set_hash"), F.size("words").alias("n"), _parity("words").alias("parity")).agg(F.min(F.struct(*ID, "line", keys)).alias("first"))
-    distinct = materialize(firsts.select("first.line", *[f"first.{c}" for c in ID], "n", "parity", "first.prefix"), "lines")
+    firsts = sets.groupBy(F.xxhash64("words").alias("one"), F.xxhash64(F.lit(1), "words").alias("two"), F.size("words").alias("n")).agg(F.min(F.struct(*ID, "line")).alias("first"))
+    firsts = materialize(firsts.select("first.line"), "first-of-equals")
+    prefix = F.expr(f"slice(words, 1, n - (n * {p} + {q - 1}) div {q} + 1)").alias("prefix")
+    kept = sets.join(broadcast_if_small(firsts), "line", "left_semi").select("line", *ID, F.size("words").alias("n"), "words")
+    distinct = materialize(kept.select("line", *ID, "n", *_bitmap("words", "n"), prefix), "lines", compression="zstd")
 
     # Near copies nearly always share one of the last words of their prefixes, and many their size.
-    heads = distinct.select("line", F.struct(*ID).alias("id"), "n", "parity", F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(HEAD_WORDS)), HEAD_WORDS)).alias("word"))
+    heads = distinct.select("line", F.struct(*ID).alias("id"), "n", *BITMAP, F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(HEAD_WORDS)), HEAD_WORDS)).alias("word"))
     heads = heads.withColumn("about", F.round(F.log(LENGTH_STEP, F.col("n"))).cast("int"))
-    leaders = heads.groupBy("word", "about").agg(F.min(F.struct("id", "line", "n", "parity")).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
-    leaders = leaders.select("word", "about", "e.line", "e.n", "e.parity")
-    tried = heads.select("line", "n", "about", "parity", "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.about = e.about and l.line <> e.line")).filter(_possible(similarity, positions=False))
+    leaders = heads.groupBy("word", "about").agg(F.min(F.struct("id", "line", "n", *BITMAP)).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+    leaders = leaders.select("word", "about", "e.line", "e.n", *[f"e.{c}" for c in BITMAP])
+    tried = heads.select("line", "n", "about", *BITMAP, "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.about = e.about and l.line <> e.line")).filter(_possible(similarity, positions=False))
     gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
 
     flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
-    asked = distinct.join(flagged, "line", "left").select("line", "doc_id", "n", "parity", "prefix", F.col("gone").isNull().alias("open"))
-    prefixes = asked.select("line", "doc_id", "n", "parity", "open", F.posexplode("prefix").alias("at", "word"))
-    # Both sides are the same rows, so they are shuffled once. A pair is of use if its later line is still open.
+    asked = distinct.join(flagged, "line", "left").select("line", "doc_id", "n", *BITMAP, "prefix", F.col("gone").isNull().alias("open"))
+    prefixes = asked.select("line", "doc_id", "n", *BITMAP, "open", F.posexplode("prefix").alias("at", "word"))
+    # A pair is of use if its later line is still open.
     later = F.col("l.open") & (F.col("l.line") != F.col("e.line")) & F.coalesce(F.col("l.doc_id") >= F.col("e.doc_id"), F.lit(True))
-    pairs = prefixes.alias("l").join(prefixes.alias("e"), F.col("l.word") == F.col("e.word")).filter(later & _possible(similarity, positions=True))
-    also = _gone(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
+    found = []
+    for part in range(WORD_PARTS):
+        own = prefixes.filter(F.pmod(F.col("word"), F.lit(WORD_PARTS)) == part)
+        pairs = own.alias("l").join(own.alias("e"), F.col("l.word") == F.col("e.word")).filter(later & _possible(similarity, positions=True))
+        found.append(materialize(pairs.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), "part-pairs"))
+    also = _gone(reduce(DataFrame.union, found), sets, similarity)
     gone = gone.union(also).distinct()
     return distinct.select("line", *ID).join(broadcast_if_small(gone), "line", "left_anti").select(*ID)
 
