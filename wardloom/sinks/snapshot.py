@@ -129,9 +129,9 @@ class SnapshotTable:
                 return self._commit(number, state, state["dirs"] + staged_dirs, rows_in, 0, applied)
 
             schema = T.StructType.fromJson(state["schema"])
-            # Written out, the distinct keys have a known size: small ones are broadcast, large
-            # ones leave a plain shuffle on both sides, which adaptive execution can split.
-            staged_keys = materialize(self._scan(staged_dirs, schema).select(*keys).dropna().distinct(), "staged-keys")
+            # Read from the staged files, whose size decides about a broadcast. Large keys are combined before
+            # they are shuffled, once for either join, which needs no shuffle of its own on top.
+            staged_keys = self._scan(staged_dirs, schema).select(*keys).dropna().distinct()
             touched = self._touched(candidates, schema, staged_keys, keys)
             kept_dirs: list[str] = []
             if touched:
