@@ -67,3 +67,22 @@ def test_unlike_long_lines_are_not_verified(spark, monkeypatch):
     out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert out.filter("lines_removed > 0").isEmpty()
     assert sum(verified) <= 30
+
+
+def test_prefixes_are_shuffled_once(spark, docs, monkeypatch):
+    """Each part of the prefixes was shuffled for either side."""
+    plans = []
+
+    def watched(df, label, compression=None, write=line_dedup.materialize):
+        if label == "part-pairs":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label, compression)
+
+    monkeypatch.setattr(line_dedup, "materialize", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans and all("ReusedExchange" in plan for plan in plans)

@@ -1,9 +1,9 @@
 """Line dedup: an exact set-similarity join over the lines of a corpus, with built-in functions only.
 
-A line is the set of its words, held as 64-bit keys, which are written once: prefixes and verification read
-them and never the texts again. A key is the hash of a word whose first bits, the word's bucket, are replaced
-by the rank of that bucket among all 2^18 by the words it has over the whole corpus: keys are as distinct as
-hashes, and in their order rare words come first. Lines with equal sets collapse first. Of the others only a
+A line is the set of its words, held as 64-bit hashes, which are written once: counts, prefixes and verification
+read them and never the texts again. Lines with equal sets collapse first. For the others, a word's key is its hash
+whose first bits, the word's bucket, are replaced by the rank of that bucket among all 2^18 by the lines that hold
+its words: keys are as distinct as hashes, and in their order rare words come first. Only a
 prefix of the rarest words is joined, one part of all words after another; length, position and a parity
 bitmap of the set, wider for larger sets, rule out nearly all pairs inside the join, and the rest are verified
 on their full word sets.
@@ -35,7 +35,7 @@ BUCKET_BITS = 18
 HASH_BITS = 64 - BUCKET_BITS
 NARROW = 48  # sets up to this size have a bitmap of 64 bits,
 WIDE = 4  # larger ones one of so many times 64
-WORD_PARTS = 5  # the words of prefixes are joined in so many parts, one after another
+WORD_PARTS = 3  # the words of prefixes are joined in so many parts, one after another
 HEAD_WORDS = 4  # last words of a prefix by which a line looks for the leader of its near copies,
 LENGTH_STEP = 1.25  # among lines of about its size
 
@@ -69,15 +69,20 @@ def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, HASH_BITS)
 
 
-def bucket_masks(docs: DataFrame, text: str) -> Column:
-    """Array literal: for each word bucket what turns it, by an exclusive or, into its rank by words in the corpus.
+def word_set(line: Column) -> Column:
+    """The distinct words of a trimmed line as sorted hashes."""
+    hashes = F.transform(split_words(line), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit(""))))
+
+
+def bucket_masks(sets: DataFrame, words: str = "words") -> Column:
+    """Array literal: for each word bucket what turns it, by an exclusive or, into its rank by the sets that hold its words.
 
     Ranks are a permutation of the buckets, with the top bit flipped since keys are signed. The size is fixed.
     """
     size, top = 1 << BUCKET_BITS, 1 << (BUCKET_BITS - 1)
-    found = docs.select(F.explode(split_words(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w")).filter("w <> ''")
-    seen = found.groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    every = seen.unionByName(docs.sparkSession.range(size).select(F.col("id").alias("bucket"), F.lit(0).cast("long").alias("n")))
+    seen = sets.select(F.explode(words).alias("w")).groupBy(_bucket(F.col("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    every = seen.unionByName(sets.sparkSession.range(size).select(F.col("id").alias("bucket"), F.lit(0).cast("long").alias("n")))
     # One row per bucket, however large the corpus: the list has 2^18 numbers.
     listed = every.groupBy("bucket").agg(F.sum("n").alias("n")).agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("by_rank"))
     masks = F.sort_array(F.transform("by_rank", lambda b, rank: F.struct(b["bucket"], rank.bitwiseXOR(F.lit(top)).bitwiseXOR(b["bucket"]).alias("mask"))))
@@ -85,10 +90,10 @@ def bucket_masks(docs: DataFrame, text: str) -> Column:
     return F.expr(f"cast(split('{listed}', ',') as array<int>)")
 
 
-def word_set(line: Column, masks: Column) -> Column:
-    """The distinct words of a trimmed line as sorted keys, rarest first."""
-    hashes = F.array_remove(F.array_distinct(F.transform(split_words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
-    return F.sort_array(F.transform(hashes, lambda h: h.bitwiseXOR(F.shiftleft(F.get(masks, _bucket(h).cast("int")).cast("long"), HASH_BITS))))
+def ranked(hashes: Column, masks: Column) -> Column:
+    """Hashes of words as sorted keys, rarest first."""
+    # Every bucket has a mask; with the zero the type says so too, and keys without NULLs are sorted as plain numbers.
+    return F.sort_array(F.transform(hashes, lambda h: h.bitwiseXOR(F.shiftleft(F.coalesce(F.get(masks, _bucket(h).cast("int")), F.lit(0)).cast("long"), HASH_BITS))))
 
 
 def _bitmap(keys: str, n: str) -> list[Column]:
@@ -107,7 +112,7 @@ def _possible(similarity: Fraction, positions: bool) -> Column:
     """Filters on a pair of lines ``l`` and ``e``: length, bitmap and, at the first shared word, position."""
     p, q = similarity.numerator, similarity.denominator
     need = f"(((l.n + e.n) * {p} + {p + q - 1}) div {p + q})"
-    place = f" and least(l.n - l.at, e.n - e.at) >= {need}" if positions else ""
+    place = f" and least(l.n - shiftright(l.place, 1), e.n - shiftright(e.place, 1)) >= {need}" if positions else ""
     most = f"l.n + e.n - 2 * {need}"
     bits = " + ".join(f"bit_count(l.{c} ^ e.{c})" for c in BITMAP)
     wide = f" and (least(l.n, e.n) <= {NARROW} or {bits} <= {most})"
@@ -130,14 +135,14 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     """``(doc_id, row, line_no)`` of the lines that stay: those without a similar earlier line."""
     p, q = similarity.numerator, similarity.denominator
     lines = lines_of(docs, text).select(*ID, trimmed(F.col("line")).alias("line")).filter("line <> ''")
-    masks = bucket_masks(docs, text)
-    sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line"), masks).alias("words")), "line-sets", compression="zstd")
+    sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line")).alias("words")), "line-sets", compression="zstd")
 
     # Lines with equal sets: the earliest stands for all of them.
     firsts = sets.groupBy(F.xxhash64("words").alias("one"), F.xxhash64(F.lit(1), "words").alias("two"), F.size("words").alias("n")).agg(F.min(F.struct(*ID, "line")).alias("first"))
     firsts = materialize(firsts.select("first.line"), "first-of-equals")
-    prefix = F.expr(f"slice(words, 1, n - (n * {p} + {q - 1}) div {q} + 1)").alias("prefix")
     kept = sets.join(broadcast_if_small(firsts), "line", "left_semi").select("line", *ID, F.size("words").alias("n"), "words")
+    rarest = F.expr(f"n - (n * {p} + {q - 1}) div {q} + 1").cast("int")
+    prefix = F.slice(ranked(F.col("words"), bucket_masks(kept)), 1, rarest).alias("prefix")
     distinct = materialize(kept.select("line", *ID, "n", *_bitmap("words", "n"), prefix), "lines", compression="zstd")
 
     # Near copies nearly always share one of the last words of their prefixes, and many their size.
@@ -149,10 +154,12 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
 
     flagged = broadcast_if_small(gone.withColumn("gone", F.lit(True)))
-    asked = distinct.join(flagged, "line", "left").select("line", "doc_id", "n", *BITMAP, "prefix", F.col("gone").isNull().alias("open"))
+    asked = distinct.join(flagged, "line", "left").select("line", "doc_id", "n", *BITMAP, "prefix", F.col("gone").isNull().cast("int").alias("open"))
     prefixes = asked.select("line", "doc_id", "n", *BITMAP, "open", F.posexplode("prefix").alias("at", "word"))
-    # A pair is of use if its later line is still open.
-    later = F.col("l.open") & (F.col("l.line") != F.col("e.line")) & F.coalesce(F.col("l.doc_id") >= F.col("e.doc_id"), F.lit(True))
+    prefixes = prefixes.select("line", "doc_id", "n", *BITMAP, "word", (F.col("at") * 2 + F.col("open")).alias("place"))
+    # A pair is of use if its later line is still open, which the last bit of its place says. Asked of both lines at once,
+    # this is no filter of one side: both sides stay the same rows, which are shuffled and written once.
+    later = F.expr("(l.place & (e.place | 1) & 1) = 1") & (F.col("l.line") != F.col("e.line")) & F.coalesce(F.col("l.doc_id") >= F.col("e.doc_id"), F.lit(True))
     found = []
     for part in range(WORD_PARTS):
         own = prefixes.filter(F.pmod(F.col("word"), F.lit(WORD_PARTS)) == part)
