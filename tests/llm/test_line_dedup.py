@@ -69,9 +69,9 @@ def test_unlike_long_lines_are_not_verified(spark, monkeypatch):
     assert sum(verified) <= 30
 
 
-def test_prefixes_are_shuffled_once(spark, docs, monkeypatch):
-    """Each part of the prefixes was shuffled for either side."""
-    plans = []
+def test_prefixes_are_shuffled_once_and_ranks_stay_short(spark, docs, monkeypatch):
+    """Each part of the prefixes was shuffled for either side; the ranks were a text of 1.8 MB in a plan the driver copies."""
+    plans, texts = [], []
 
     def watched(df, label, compression=None, write=line_dedup.materialize):
         if label == "part-pairs":
@@ -79,10 +79,16 @@ def test_prefixes_are_shuffled_once(spark, docs, monkeypatch):
             plans.append(df._jdf.queryExecution().executedPlan().toString())
         return write(df, label, compression)
 
+    def parsed(text, expr=line_dedup.F.expr):
+        texts.append(len(text))
+        return expr(text)
+
     monkeypatch.setattr(line_dedup, "materialize", watched)
+    monkeypatch.setattr(line_dedup.F, "expr", parsed)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plans and all("ReusedExchange" in plan for plan in plans)
+    assert max(texts) < 500_000

@@ -2,7 +2,7 @@
 
 A line is the set of its words, held as 64-bit hashes, which are written once: counts, prefixes and verification
 read them and never the texts again. Lines with equal sets collapse first. For the others, a word's key is its hash
-whose first bits, the word's bucket, are replaced by the rank of that bucket among all 2^18 by the lines that hold
+whose first bits, the word's bucket, are replaced by the rank of that bucket among all 2^16 by the lines that hold
 its words: keys are as distinct as hashes, and in their order rare words come first. Only a
 prefix of the rarest words is joined, one part of all words after another; length, position and a parity
 bitmap of the set, wider for larger sets, rule out nearly all pairs inside the join, and the rest are verified
@@ -31,7 +31,7 @@ from wardloom.llm.common import SPACE, table
 from wardloom.session import broadcast_if_small, materialize
 
 SIMILARITY = Fraction(4, 5)
-BUCKET_BITS = 18
+BUCKET_BITS = 16  # their ranks are written into a plan, of which the driver holds many copies as text
 HASH_BITS = 64 - BUCKET_BITS
 NARROW = 48  # sets up to this size have a bitmap of 64 bits,
 WIDE = 4  # larger ones one of so many times 64
@@ -83,7 +83,7 @@ def bucket_masks(sets: DataFrame, words: str = "words") -> Column:
     size, top = 1 << BUCKET_BITS, 1 << (BUCKET_BITS - 1)
     seen = sets.select(F.explode(words).alias("w")).groupBy(_bucket(F.col("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     every = seen.unionByName(sets.sparkSession.range(size).select(F.col("id").alias("bucket"), F.lit(0).cast("long").alias("n")))
-    # One row per bucket, however large the corpus: the list has 2^18 numbers.
+    # One row per bucket, however large the corpus: the list has 2^16 numbers.
     listed = every.groupBy("bucket").agg(F.sum("n").alias("n")).agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("by_rank"))
     masks = F.sort_array(F.transform("by_rank", lambda b, rank: F.struct(b["bucket"], rank.bitwiseXOR(F.lit(top)).bitwiseXOR(b["bucket"]).alias("mask"))))
     listed = listed.select(F.array_join(F.transform(masks, lambda b: b["mask"].cast("string")), ",")).first()[0]
@@ -142,7 +142,7 @@ def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     firsts = materialize(firsts.select("first.line"), "first-of-equals")
     kept = sets.join(broadcast_if_small(firsts), "line", "left_semi").select("line", *ID, F.size("words").alias("n"), "words")
     rarest = F.expr(f"n - (n * {p} + {q - 1}) div {q} + 1").cast("int")
-    prefix = F.slice(ranked(F.col("words"), bucket_masks(kept)), 1, rarest).alias("prefix")
+    prefix = F.slice(ranked(F.col("words"), bucket_masks(sets)), 1, rarest).alias("prefix")
     distinct = materialize(kept.select("line", *ID, "n", *_bitmap("words", "n"), prefix), "lines", compression="zstd")
 
     # Near copies nearly always share one of the last words of their prefixes, and many their size.
