@@ -92,3 +92,54 @@ def test_prefixes_are_shuffled_once_and_ranks_stay_short(spark, docs, monkeypatc
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plans and all("ReusedExchange" in plan for plan in plans)
     assert max(texts) < 500_000
+
+
+def test_bitmaps_visit_each_word_once(spark):
+    """Wide bitmaps went through all words once for each quarter; they are the same by slices, and pass every similar pair."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"v{rng.randrange(400)}" for _ in range(n))) for i, n in enumerate([1, 2, 47, 48, 49, 50, 70, 120, 300] * 3)]
+    sets = spark.createDataFrame(rows, "line long, text string").select("line", line_dedup.word_set(line_dedup.F.col("text")).alias("words"))
+    out = line_dedup.with_bitmap(sets.withColumn("n", line_dedup.F.size("words"))).collect()
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for r in out:
+        quarters = [0] * line_dedup.WIDE
+        for w in r["words"]:
+            quarters[(w + (1 << 63)) >> 62 if r["n"] > line_dedup.NARROW else 0] ^= 1 << (w & 63)
+        whole = 0
+        for bits in quarters:
+            whole ^= bits
+        assert [r[c] for c in line_dedup.BITMAP] == [signed(bits) for bits in (whole, *quarters[1:])], r["line"]
+    assert sum(r["n"] > line_dedup.NARROW for r in out) > 6
+
+
+def test_only_large_groups_look_for_leaders(spark, monkeypatch):
+    """Every last word of every prefix was shuffled with its line, twice; small groups of copies now go to the join of prefixes alone."""
+    rng = random.Random(9)
+    counts: dict[str, list[int]] = {}
+
+    def counted(df, label, compression=None, write=line_dedup.materialize):
+        out = write(df, label, compression)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    def copies(groups, size):
+        out = []
+        for g in range(groups):
+            words = [f"g{size}x{g}w{k}" for k in range(40)]
+            out += [" ".join([*words[:i % 40], f"n{g}x{i}", *words[i % 40 + 1 :]]) for i in range(size)]
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    for groups, size in ((30, 8), (1, 200)):
+        lines = copies(groups, size)
+        rng.shuffle(lines)
+        counts.clear()
+        out = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+        seen, lost = [], 0
+        for line in lines:
+            words = frozenset(line.split())
+            lost += any(5 * len(words & s) >= 4 * len(words | s) for s in seen)
+            seen.append(words)
+        assert out.agg({"lines_removed": "sum"}).first()[0] == lost > 150
+        assert (counts["heads-of-many"] == [0]) == (size <= line_dedup.FEW)
+        assert sum(counts["line-pairs"]) <= len(lines) * line_dedup.FEW

@@ -10,8 +10,8 @@ on their full word sets.
 
 A line goes if an earlier line, in order of ``(doc_id, row, line number)``, has Jaccard similarity at
 or above the threshold; ``row`` is a hash of the document's columns. It is enough to find one such
-line, so every line is first tried against the earliest line of its size that shares one of the
-last words of its prefix. Pairs of which this leaves neither line open are not made at all: a
+line, so a line that shares one of the last words of its prefix with many lines of its size is first
+tried against the earliest of these. Pairs of which this leaves neither line open are not made at all: a
 large group of near copies does not become all its pairs.
 
 Defined results: NULL texts stay NULL, blank lines always stay, rows equal in every column are one
@@ -35,12 +35,13 @@ BUCKET_BITS = 16  # their ranks are written into a plan, of which the driver hol
 HASH_BITS = 64 - BUCKET_BITS
 NARROW = 48  # sets up to this size have a bitmap of 64 bits,
 WIDE = 4  # larger ones one of so many times 64
-WORD_PARTS = 5  # the words of prefixes are joined in so many parts, one after another
+WORD_PARTS = 3  # the words of prefixes are joined in so many parts, one after another
 HEAD_WORDS = 4  # last words of a prefix by which a line looks for the leader of its near copies,
 LENGTH_STEP = 1.25  # among lines of about its size
+FEW = 16  # so many lines with a word are left to the join of prefixes, which makes few pairs of them
 
 ID = ("doc_id", "row", "line_no")
-BITMAP = tuple(f"bits{i}" for i in range(WIDE))
+BITMAP = ("bits", *[f"bits{i}" for i in range(1, WIDE)])  # the whole one folded to 64 bits, and its later quarters
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -53,14 +54,14 @@ def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.col("doc_id").alias("doc_id"), row_key(docs).alias("row"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
 
 
-def trimmed(line: Column) -> Column:
-    """The line from its first word to its last; empty if it has none."""
-    return F.trim(line, F.lit(" \t\n\x0b\x0c\r"))
+def is_blank(line: Column) -> Column:
+    """Whether a line has no word. Blanks are cut at its start only, which ends at the first word; at its end it would look at every character."""
+    return F.ltrim(line, F.lit(" \t\n\x0b\x0c\r")) == ""
 
 
 def split_words(text: Column) -> Column:
-    """The words of a text and perhaps empty strings; cut at a plain blank, which needs no regular expression."""
-    others = "\t\n\x0b\x0c\r"
+    """The words of a line and perhaps empty strings; cut at a plain blank, which needs no regular expression."""
+    others = "\t\x0b\x0c\r"
     odd = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in others])
     return F.split(F.when(odd, F.translate(text, others, " " * len(others))).otherwise(text), " ")
 
@@ -70,7 +71,7 @@ def _bucket(h: Column) -> Column:
 
 
 def word_set(line: Column) -> Column:
-    """The distinct words of a trimmed line as sorted hashes."""
+    """The distinct words of a line as sorted hashes."""
     hashes = F.transform(split_words(line), lambda w: F.xxhash64(w))
     return F.sort_array(F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit(""))))
 
@@ -96,27 +97,33 @@ def ranked(hashes: Column, masks: Column) -> Column:
     return F.sort_array(F.transform(hashes, lambda h: h.bitwiseXOR(F.shiftleft(F.coalesce(F.get(masks, _bucket(h).cast("int")), F.lit(0)).cast("long"), HASH_BITS))))
 
 
-def _bitmap(keys: str, n: str) -> list[Column]:
-    """Bitmap in which every word flips one bit, so that it differs in no more bits than the sets in words; 64 bits of a small set, else all."""
-    narrow = F.expr(f"aggregate({keys}, 0L, (a, k) -> a ^ shiftleft(1L, cast(k & 63 as int)))")
-    wide = [F.expr(f"aggregate({keys}, 0L, (a, k) -> if((shiftright(k, 6) & {WIDE - 1}) = {i}, a ^ shiftleft(1L, cast(k & 63 as int)), a))") for i in range(WIDE)]
-    return [F.when(F.col(n) > NARROW, bits).otherwise(F.lit(0).cast("long") if i else narrow).alias(BITMAP[i]) for i, bits in enumerate(wide)]
+def with_bitmap(sets: DataFrame) -> DataFrame:
+    """``sets (n, words)`` with a bitmap in which every word flips one bit, so that it differs in no more bits than the sets in words.
 
-
-def _folded(side: str) -> str:
-    """The bitmap as one of 64 bits, whichever width it has."""
-    return "(" + " ^ ".join(f"{side}.{c}" for c in BITMAP) + ")"
+    A large set's words lie in ranges of hashes, each with its own 64 bits; those of a small one count as one range.
+    ``words`` are sorted, so a range is a slice of them, and each word is visited once whatever the width.
+    """
+    limits = [(1 << 64) // WIDE * i - (1 << 63) for i in range(1, WIDE)]
+    sets = sets.withColumn("_marks", F.when(F.col("n") > NARROW, F.sort_array(F.concat("words", F.array(*[F.lit(x).cast("long") for x in limits])))))
+    ends = [F.coalesce(F.array_position("_marks", F.lit(x).cast("long")).cast("int") - (i + 1), F.col("n")).alias(f"_end{i}") for i, x in enumerate(limits)]
+    ends = [F.lit(0).alias("_start"), *ends, F.col("n").alias(f"_end{WIDE - 1}")]
+    sets = sets.select("*", *ends).drop("_marks")
+    at = ["_start", *[f"_end{i}" for i in range(WIDE)]]
+    bits = [F.expr(f"aggregate(slice(words, {a} + 1, {b} - {a}), 0L, (a, k) -> a ^ shiftleft(1L, cast(k & 63 as int)))").alias(f"bits{i}") for i, (a, b) in enumerate(zip(at, at[1:]))]
+    sets = sets.select("*", *bits).drop(*at)
+    return sets.withColumn("bits", reduce(Column.bitwiseXOR, [F.col(f"bits{i}") for i in range(WIDE)])).drop("bits0")
 
 
 def _possible(similarity: Fraction, positions: bool) -> Column:
-    """Filters on a pair of lines ``l`` and ``e``: length, bitmap and, at the first shared word, position."""
+    """Filters on a pair of lines ``l`` and ``e``: bitmap, length and, at the first shared word, position."""
     p, q = similarity.numerator, similarity.denominator
-    need = f"(((l.n + e.n) * {p} + {p + q - 1}) div {p + q})"
-    place = f" and least(l.n - shiftright(l.place, 1), e.n - shiftright(e.place, 1)) >= {need}" if positions else ""
-    most = f"l.n + e.n - 2 * {need}"
-    bits = " + ".join(f"bit_count(l.{c} ^ e.{c})" for c in BITMAP)
-    wide = f" and (least(l.n, e.n) <= {NARROW} or {bits} <= {most})"
-    return F.expr(f"least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p}{place} and bit_count({_folded('l')} ^ {_folded('e')}) <= {most}{wide}")
+    # Bitmaps differ in an even number of bits if the sizes do in words, so the most of them follows without rounding.
+    few = f"* {p + q} <= (l.n + e.n) * {q - p}"
+    differ = [f"(l.{c} ^ e.{c})" for c in BITMAP]
+    place = f" and least(l.n - shiftright(l.place, 1), e.n - shiftright(e.place, 1)) * {p + q} >= (l.n + e.n) * {p}" if positions else ""
+    every = " + ".join(f"bit_count({d})" for d in (" ^ ".join(differ), *differ[1:]))
+    wide = f" and (least(l.n, e.n) <= {NARROW} or ({every}) {few})"
+    return F.expr(f"bit_count({differ[0]}) {few} and least(l.n, e.n) * {q} >= greatest(l.n, e.n) * {p}{place}{wide}")
 
 
 def _gone(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -124,6 +131,7 @@ def _gone(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     wanted = materialize(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct(), "line-ids")
     known = sets.select("line", F.struct(*ID).alias("id"), "words").join(broadcast_if_small(wanted), "line", "left_semi")
+    known = materialize(known, "known-lines")
     a, b = (known.select(*[F.col(c).alias(f"{side}_{c}") for c in known.columns]) for side in "ab")
     both = pairs.join(a, F.col("a") == F.col("a_line")).join(b, F.col("b") == F.col("b_line"))
     shared, p, q = F.size(F.array_intersect("a_words", "b_words")), similarity.numerator, similarity.denominator
@@ -134,21 +142,26 @@ def _gone(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
 def first_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMILARITY) -> DataFrame:
     """``(doc_id, row, line_no)`` of the lines that stay: those without a similar earlier line."""
     p, q = similarity.numerator, similarity.denominator
-    lines = lines_of(docs, text).select(*ID, trimmed(F.col("line")).alias("line")).filter("line <> ''")
-    sets = materialize(lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line")).alias("words")), "line-sets", compression="zstd")
+    lines = lines_of(docs, text).filter(~is_blank(F.col("line")))
+    sets = lines.select(F.monotonically_increasing_id().alias("line"), *ID, word_set(F.col("line")).alias("words"))
+    sets = sets.select("*", F.xxhash64("words").alias("one"), F.xxhash64(F.lit(1), "words").alias("two"), F.size("words").alias("n"))
+    sets = materialize(sets, "line-sets", compression="zstd")
 
     # Lines with equal sets: the earliest stands for all of them.
-    firsts = sets.groupBy(F.xxhash64("words").alias("one"), F.xxhash64(F.lit(1), "words").alias("two"), F.size("words").alias("n")).agg(F.min(F.struct(*ID, "line")).alias("first"))
+    firsts = sets.groupBy("one", "two", "n").agg(F.min(F.struct(*ID, "line")).alias("first"))
     firsts = materialize(firsts.select("first.line"), "first-of-equals")
-    kept = sets.join(broadcast_if_small(firsts), "line", "left_semi").select("line", *ID, F.size("words").alias("n"), "words")
+    kept = sets.join(broadcast_if_small(firsts), "line", "left_semi").select("line", *ID, "n", "words")
     rarest = F.expr(f"n - (n * {p} + {q - 1}) div {q} + 1").cast("int")
     prefix = F.slice(ranked(F.col("words"), bucket_masks(sets)), 1, rarest).alias("prefix")
-    distinct = materialize(kept.select("line", *ID, "n", *_bitmap("words", "n"), prefix), "lines", compression="zstd")
+    distinct = materialize(with_bitmap(kept).select("line", *ID, "n", *BITMAP, prefix), "lines", compression="zstd")
 
-    # Near copies nearly always share one of the last words of their prefixes, and many their size.
+    # Near copies nearly always share one of the last words of their prefixes, and many their size. Only the lines of
+    # large groups are put in order and tried, since those of small ones make few pairs.
     heads = distinct.select("line", F.struct(*ID).alias("id"), "n", *BITMAP, F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(HEAD_WORDS)), HEAD_WORDS)).alias("word"))
     heads = heads.withColumn("about", F.round(F.log(LENGTH_STEP, F.col("n"))).cast("int"))
-    leaders = heads.groupBy("word", "about").agg(F.min(F.struct("id", "line", "n", *BITMAP)).alias("e"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+    many = materialize(heads.groupBy("word", "about").agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > FEW).select("word", "about"), "many-lines")
+    heads = materialize(heads.join(broadcast_if_small(many), ["word", "about"], "left_semi"), "heads-of-many", compression="zstd")
+    leaders = heads.groupBy("word", "about").agg(F.min(F.struct("id", "line", "n", *BITMAP)).alias("e"))
     leaders = leaders.select("word", "about", "e.line", "e.n", *[f"e.{c}" for c in BITMAP])
     tried = heads.select("line", "n", "about", *BITMAP, "word").alias("l").join(leaders.alias("e"), F.expr("l.word = e.word and l.about = e.about and l.line <> e.line")).filter(_possible(similarity, positions=False))
     gone = _gone(tried.select(F.col("l.line").alias("a"), F.col("e.line").alias("b")), sets, similarity)
@@ -178,7 +191,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: Fraction = SIMI
     cut = docs.select("*", row_key(docs).alias("_ld_key"), F.split(F.col(text), "\n", -1).alias("_ld_lines"))
     # A hash may be that of another document; with the id as well it stands for one.
     joined = cut.join(broadcast_if_small(stay), (F.col("_ld_key") == F.col("_ld_row")) & F.col("doc_id").eqNullSafe(F.col("_ld_id")), "left")
-    blank = F.filter(F.transform("_ld_lines", lambda s, i: F.when(trimmed(s) == "", i)), lambda i: i.isNotNull())
+    blank = F.filter(F.transform("_ld_lines", lambda s, i: F.when(is_blank(s), i)), lambda i: i.isNotNull())
     joined = joined.select(*[F.col(f"`{c}`") for c in names], "_ld_lines", F.sort_array(F.concat(F.coalesce("_ld_stay", F.array().cast("array<int>")), blank)).alias("_ld_stay"))
     kept = F.when(F.col(text).isNotNull(), F.array_join(F.transform("_ld_stay", lambda i: F.get("_ld_lines", i)), "\n"))
     removed = F.coalesce(F.size("_ld_lines") - F.size("_ld_stay"), F.lit(0))
