@@ -38,7 +38,7 @@ WIDE = 4  # larger ones one of so many times 64
 WORD_PARTS = 3  # the words of prefixes are joined in so many parts, one after another
 HEAD_WORDS = 4  # last words of a prefix by which a line looks for the leader of its near copies,
 LENGTH_STEP = 1.25  # among lines of about its size
-FEW = 16  # so many lines with a word are left to the join of prefixes, which makes few pairs of them
+FEW = 32  # so many lines with a word are left to the join of prefixes, which makes few pairs of them
 
 ID = ("doc_id", "row", "line_no")
 BITMAP = ("bits", *[f"bits{i}" for i in range(1, WIDE)])  # the whole one folded to 64 bits, and its later quarters
