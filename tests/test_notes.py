@@ -6,6 +6,7 @@ from tests.brute_sentiment import score
 from wardloom.functions.rules import Rules
 from wardloom.functions.text import DISCHARGE_DELIMITER, FOLLOW_UP_DELIMITER, score_with
 from wardloom.operators.corpus import Corpus, corpus_of_texts
+from wardloom.plans import queries
 from wardloom.plans.notes import ADMISSION, DISCHARGE, FOLLOW_UP, KINDS, NOTE_COLUMNS, doctor_notes, make_notes, note_corpora
 
 LEXICON = {"good": 1.9, "bad": -2.5, "fine": 0.8}
@@ -93,3 +94,48 @@ def test_three_folders(spark, lexicon, tmp_path):
         ("follow_up_notes", "fol two"), ("discharge_notes", "disone"), ("discharge_notes", "dis two"),
     }
     assert len(KINDS) == 3
+
+
+def bulky_folders(folder):
+    for number, kind in enumerate(KINDS):
+        (folder / kind.folder).mkdir(parents=True)
+        records = [f"{kind.label} {i} is {'good ' * (i % 3)}{'x' * 50}" for i in range(90)]
+        (folder / kind.folder / "a.txt").write_text(kind.delimiter.join(records))
+
+
+def test_texts_of_folders_are_shuffled_once(spark, lexicon, tmp_path, monkeypatch):
+    """Where the drawn numbers are too many to be broadcast, the join that drops the other texts is by note as well."""
+    bulky_folders(tmp_path)
+    corpora, users = note_corpora(spark, str(tmp_path)), spark.range(70)
+    default = sorted(map(tuple, doctor_notes(users, corpora, lexicon=lexicon).collect()))
+    monkeypatch.setattr("wardloom.operators.prefilter.is_small", lambda df: False)
+    monkeypatch.setattr("wardloom.plans.notes.FEW_RECORDS", 0)
+    notes = doctor_notes(users, corpora, lexicon=lexicon)
+    plan = notes._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(note" in plan and "hashpartitioning(idx" not in plan and "hashpartitioning(_id" not in plan
+    assert len(default) == 210 and sorted(map(tuple, notes.collect())) == default
+
+
+def test_corpora_of_some_kinds(spark, tmp_path):
+    bulky_folders(tmp_path)
+    assert list(note_corpora(spark, str(tmp_path))) == list(KINDS)
+    assert {kind: corpus.size for kind, corpus in note_corpora(spark, str(tmp_path), [FOLLOW_UP]).items()} == {FOLLOW_UP: 90}
+
+
+def test_note_folders_are_deleted_once_they_are_read(spark, tmp_path, monkeypatch):
+    held = []
+    docs = spark.range(250).selectExpr("id doc_id", "concat('text ', id, '\n', repeat('the cat ', 20)) text")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    orders = spark.range(40).selectExpr("id o_orderkey", "id o_custkey", "'F' o_orderstatus", "'5-LOW' o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    drop = queries._drop_files
+
+    def counted(rows, folder, delimiter):
+        held.append(len(list((tmp_path / "landing").rglob("*.txt"))))
+        drop(rows, folder, delimiter)
+
+    monkeypatch.setattr(queries, "_drop_files", counted)
+    monkeypatch.setattr(queries, "fresh_dir", lambda spark, label: str(tmp_path / label))
+    notes = queries.notes_from_folders(spark, str(tmp_path))
+    assert held == [0, 0, 0] and not list((tmp_path / "landing").rglob("*.txt"))
+    assert notes.groupBy("notes_type").count().collect() and notes.count() == 120

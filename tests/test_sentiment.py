@@ -1,4 +1,7 @@
+import contextlib
+import io
 import random
+import re
 
 import pytest
 
@@ -104,3 +107,23 @@ def test_no_token_row_carries_an_array(spark, lexicon):
     tokens = [line for line in plan.splitlines() if "Generate inline" in line]
     carried = [line.split("), [")[-1].split("]")[0] for line in tokens]
     assert tokens and all("_id#" in c and "_words" not in c and " w#" not in c for c in carried)
+
+
+def test_hits_are_combined_without_sorting_them(spark, lexicon):
+    df = spark.createDataFrame([(1, "good day")], "id int, text string")
+    plan = score_texts(df, "id", "text", lexicon)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, lexicon):
+    """The JVM leaves methods of more than 8,000 bytes to its interpreter."""
+    df = spark.createDataFrame([(1, "good day")], "id int, text string").repartition("id")
+    out = io.StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(out):
+            score_texts(df, "id", "text", lexicon).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) <= 8000

@@ -189,3 +189,14 @@ def test_newest_into_an_empty_table_writes_no_staged_copy(spark, tmp_path, monke
     table.upsert(rows.filter("v = 'old'"), ["k"], "newest", "load_no")
     assert "staged" in written
     assert {(r.k, r.v) for r in table.read().collect()} == {(1, "new"), (None, "none")}
+
+
+def test_equal_texts_side_by_side_are_kept_once(spark, tmp_path):
+    """A load whose rows carry a few long texts many times takes little more than the texts."""
+    texts = spark.range(60).selectExpr("id", "concat_ws(' ', transform(sequence(1, 200), i -> md5(concat(id, '-', i)))) text")
+    rows = texts.selectExpr("id", "text", "explode(sequence(1, 50)) copy").repartition(1).sortWithinPartitions("id", "copy")
+    rows.write.parquet(str(tmp_path / "plain"), compression="snappy")
+    table = SnapshotTable(spark, str(tmp_path / "t")).create_if_absent(rows)
+    table.append(rows)
+    size = lambda folder: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    assert size(tmp_path / "t") < 60 * 200 * 33 < size(tmp_path / "plain") and table.read().count() == 3000

@@ -11,6 +11,7 @@ from wardloom.operators import prefilter
 from wardloom.operators.corpus import Corpus, corpus_of_folder, corpus_of_texts
 from wardloom.operators.growing import GrowingCorpus
 from wardloom.operators.picks import assign_text
+from wardloom.session import materialize
 from wardloom.sources.text import _cutter, read_text_files, read_text_lines
 
 
@@ -168,6 +169,21 @@ def test_cutter_by_lines_and_blocks(lines_of_blocks, width):
     assert [t for t in records.values() if t] == [x for x in "\n".join(lines_of_blocks).split("-" * width) if x]
 
 
+def test_whole_records_are_written_once(spark, tmp_path, monkeypatch):
+    """Only those that had to be joined from the pieces of several splits are written a second time."""
+    write(tmp_path / "a.txt", "---".join(f"record {i}\nof {i % 7} lines" for i in range(500)))
+    written = {}
+
+    def counted(df, label, compression=None):
+        frame = materialize(df, label, compression)
+        written[label] = frame.count()
+        return frame
+
+    monkeypatch.setattr("wardloom.sources.text.materialize", counted)
+    assert corpus_of_folder(spark, str(tmp_path), "---").size == 500
+    assert written["records"] >= 500 and sum(written.values()) < 510
+
+
 def test_delimiter_with_a_newline_reads_whole_files(spark, tmp_path):
     write(tmp_path / "a.txt", "one-\n-two\n\nthree-\n-")
     assert records(corpus_of_folder(spark, str(tmp_path), "-\n-")) == ["one", "two\n\nthree"]

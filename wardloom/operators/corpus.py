@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.text import NEWLINE, cut_records
 from wardloom.operators.numbering import running_offsets
-from wardloom.operators.prefilter import with_partner
+from wardloom.operators.prefilter import in_place, with_partner
 from wardloom.session import broadcast_if_small, materialize
 from wardloom.sources.text import SUFFIX, read_text_files, read_text_lines, read_text_records
 
@@ -32,6 +32,11 @@ class Corpus:
         """The records ``(idx, text)`` of ``wanted (idx)``, which holds each number once."""
         return with_partner(self.records, materialize(wanted.select("idx"), "wanted"), "idx")
 
+    def likely_drawn(self, wanted: DataFrame) -> tuple[DataFrame, bool]:
+        """``drawn``, and whether it is just that: without it, there are records that nobody wants, for a join that the
+        caller makes on numbers of its own. No text is shuffled for the numbers of the corpus."""
+        return in_place(self.records, materialize(wanted.select("idx"), "wanted"), "idx")
+
 
 @dataclass(frozen=True)
 class CutCorpus(Corpus):
@@ -43,6 +48,9 @@ class CutCorpus(Corpus):
     key: str
     delimiter: str
 
+    def likely_drawn(self, wanted: DataFrame) -> tuple[DataFrame, bool]:
+        return self.drawn(wanted), True
+
     def drawn(self, wanted: DataFrame) -> DataFrame:
         """Each drawn text is cut once; texts nobody drew from are neither cut nor moved."""
         located = locate(wanted, self.placed, self.key)
@@ -110,7 +118,7 @@ def corpus_of_folder(spark: SparkSession, folder: str | list[str], delimiter: st
 def number_records(spark: SparkSession, folder: str | list[str], delimiter: str, suffix: str = SUFFIX) -> Corpus:
     """A corpus whose records carry their ``file`` as well; ``delimiter`` is a newline or holds none."""
     if delimiter == NEWLINE:
-        records = materialize(read_text_lines(spark, folder, suffix).withColumnRenamed("line_no", "seq"), "lines")
+        records = materialize(read_text_lines(spark, folder, suffix).withColumnRenamed("line_no", "seq"), "lines", compression="zstd")
     else:
         records = read_text_records(spark, folder, delimiter, suffix)
     blocks = ["file", "block"]  # numbers within a block rise by one

@@ -32,6 +32,12 @@ def with_partner(rows: DataFrame, partners: DataFrame, column: str) -> DataFrame
 
     Rows stay where they are if the partners are small; otherwise only likely matches are shuffled.
     """
+    found, exact = in_place(rows, partners, column)
+    return found if exact else found.join(partners, column)
+
+
+def in_place(rows: DataFrame, partners: DataFrame, column: str) -> tuple[DataFrame, bool]:
+    """``with_partner`` as far as no row is shuffled for it, and whether that is all of it."""
     if is_small(partners):
-        return rows.join(F.broadcast(partners), column)
-    return likely_partners(rows, partners, column).join(partners, column)
+        return rows.join(F.broadcast(partners), column), True
+    return likely_partners(rows, partners, column), False

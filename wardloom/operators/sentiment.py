@@ -155,8 +155,18 @@ def _idioms(rules: Rules) -> Column:
     return F.create_map(*[F.lit(part) for words, value in rules.idioms for part in (words, float(value))])
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """``rows`` as they are; the steps after this become a method of their own in the generated code.
+
+    The JVM never compiles a method of more than 8,000 bytes, however often it runs, and steps that follow one another
+    for each token or hit are generated as one.
+    """
+    return rows.select("*", F.explode(F.array(F.lit(0)))).select(*rows.columns)
+
+
 def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    """Append ``_s``, the valence of each word of a text after all rules about the neighbours of its first occurrence."""
+    """Append ``_s``, the valence of each hit after all rules about its neighbours."""
+    hits = _apart(hits)
     for i in range(1, BEFORE + 1):
         known = lexicon.select(F.col("token").alias("_token"))  # the same three times: broadcast once
         hits = hits.join(known, F.lower(f"b{i}") == F.col("_token"), "left").withColumnRenamed("_token", f"_known{i}")
@@ -176,7 +186,7 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
             f"_negates{i}": F.coalesce(negates, F.lit(False)),
         }
 
-    judged = hits.withColumns({name: value for i in range(1, BEFORE + 1) for name, value in judged_as(i).items()})
+    judged = _apart(hits.withColumns({name: value for i in range(1, BEFORE + 1) for name, value in judged_as(i).items()}))
 
     def near(i: int, field: str) -> Column:
         return F.col(f"_{field}{i}")
@@ -204,7 +214,7 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
     valence, loud = F.col("valence"), _is_caps(F.col("w")) & F.col("_mixed_caps")
     kind_of = (F.lower("w") == rules.kind_of[0]) & F.coalesce(F.lower("a1") == rules.kind_of[1], F.lit(False))
     modifier = _one_of("lower(w)", (*rules.intensifiers, *rules.dampeners)) | kind_of
-    kept = ("_id", *TEXT_FACTS, "w", "_times", "_halves", "_rows")
+    kept = ("_id", *TEXT_FACTS, "w", "at", "_half", "_row")
     ruled = judged.select(
         *kept,
         # NULL for a word that is not in the lexicon, or that only modifies others.
@@ -217,7 +227,7 @@ def _valued(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
     )
 
     # A booster pushes the valence away from zero or towards it, then a negation scales it; nearest word first.
-    stepped = ruled
+    stepped = _apart(ruled)
     for i, damping in enumerate(fixed.DISTANCE_DAMPING, start=1):
         v, boost = F.col("_v"), near(i, "boost")
         signed = F.when(v < 0, -boost).otherwise(boost) + F.when(near(i, "loud"), _away_from_zero(v)).otherwise(0.0)
@@ -245,17 +255,18 @@ def score_texts(texts: DataFrame, id_col: str, text_col: str, lexicon: DataFrame
         .when((F.col("_contrast") > 0) & (here > F.col("_contrast")), int(2 * fixed.AFTER_CONTRAST))
         .otherwise(2)
     )
-    # A word that occurs again counts with the valence of its first occurrence, so only that one is
-    # valued. Every text has one row for its first token, or one without a token: more are another text.
-    near = [f"b{i}" for i in range(1, BEFORE + 1)] + [f"a{i}" for i in range(1, AFTER + 1)]
-    words = hits.groupBy("_id", "w").agg(
-        F.min_by(F.struct("valence", *near), "at").alias("_first"),
+    # Every text has one row for its first token, or one without a token: more are another text.
+    row = F.when(F.coalesce(F.col("at") == 0, F.lit(True)), 1).otherwise(0)
+    valued = _valued(hits.withColumns({"_half": halves, "_row": row}), lexicon, rules)
+    # A word that occurs again counts with the valence of its first occurrence. Hits are valued before that one is
+    # looked for, since numbers are combined in a hash map, and neighbours only by sorting all hits.
+    per_word = valued.groupBy("_id", "w").agg(
+        F.coalesce(F.min_by("_s", "at"), F.lit(0)).alias("_s"),
         F.count(F.lit(1)).alias("_times"),
-        F.sum(halves).alias("_halves"),
-        F.sum(F.when(F.coalesce(F.col("at") == 0, F.lit(True)), 1).otherwise(0)).alias("_rows"),
-        *[F.max(c).alias(c) for c in (*TEXT_FACTS, "_mixed_caps")],
+        F.sum("_half").alias("_halves"),
+        F.sum("_row").alias("_rows"),
+        *[F.max(c).alias(c) for c in TEXT_FACTS],
     )
-    per_word = _valued(words.select("_id", *TEXT_FACTS, "_mixed_caps", "w", "_times", "_halves", "_rows", "_first.*"), lexicon, rules)
     unit = 2 * int(SCALE)  # everything below is in halves of the scaled unit
     one, weighted = F.col("_times") * unit, F.col("_s") * F.col("_halves")
     per_text = per_word.groupBy("_id").agg(

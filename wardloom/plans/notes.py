@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,19 +70,28 @@ def doctor_notes(
     who_columns = [F.col(c) for c in who]
     numbered = materialize(number_equal_rows(users.select(F.col(user_key).alias("user_id"))), "users")
 
-    draws, records, kinds, begin = [], [], [], 0
+    draws, records, wanted, kinds, begin, exact = [], [], [], [], 0, True
     for kind, corpus in corpora.items():
         salt = kind.label + seed
         picked = with_pick(numbered, who, salt, corpus)
-        records.append(corpus.drawn(picked.select("idx").distinct()).select((F.col("idx") + begin).alias("note"), "text"))
+        note = (F.col("idx") + begin).alias("note")
+        found, just_drawn = corpus.likely_drawn(picked.select("idx").distinct())
+        records.append(found.select(note, "text"))
+        wanted.append(picked.select(note))
+        exact &= just_drawn
         # Draws are shuffled while they are narrow: providers from the number range are drawn after it.
-        noted = picked.select(*who, (F.col("idx") + begin).alias("note"), F.lit(kind.label).alias("notes_type"))
+        noted = picked.select(*who, note, F.lit(kind.label).alias("notes_type"))
         draws.append(noted if providers is None else assign_key(noted, who, "provider|" + salt, providers, provider_key, "provider_id"))
         begin += corpus.size
         kinds.append((begin, kind, provider_pick(who_columns, "provider|" + salt)))
 
     # Partitioned by note once: a text is scored where it lies, so that its hits are not shuffled, and is joined there.
-    used = _union(records).repartition("note")
+    # Where a join has to drop records that nobody drew, the texts are shuffled for it and not again. It is no semi
+    # join, which would be made before the filter that keeps most of those records from the shuffle.
+    if exact:
+        used = _union(records).repartition("note")
+    else:
+        used = _union(records).join(_union(wanted).distinct().hint("shuffle_hash"), "note")
     if scorer is not None:
         scored = used.withColumn("notes_pos_sentiment", scorer(F.col("text")))
     else:
@@ -93,7 +102,7 @@ def doctor_notes(
     scored = scored.select("note", stored.alias("notes"), "notes_pos_sentiment")
     if min(corpus.size for corpus in corpora.values()) < FEW_RECORDS:
         # Many users draw the same few records: written, these are broadcast, or their draws split by adaptive execution.
-        scored = materialize(scored, "scored-notes")
+        scored = materialize(scored, "scored-notes", compression="zstd")
 
     notes = _union(draws).join(scored, "note")
     if providers is None:
@@ -144,9 +153,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
-def note_corpora(spark: SparkSession, base: str) -> dict[NoteKind, Corpus]:
-    """The three corpora below ``base``, read from their folders."""
-    return {kind: corpus_of_folder(spark, f"{base.rstrip('/')}/{kind.folder}", kind.delimiter) for kind in KINDS}
+def note_corpora(spark: SparkSession, base: str, kinds: Sequence[NoteKind] = KINDS) -> dict[NoteKind, Corpus]:
+    """The three corpora below ``base`` (or those of ``kinds``), read from their folders. Their records have been written
+    then, and the folders are not read again."""
+    return {kind: corpus_of_folder(spark, f"{base.rstrip('/')}/{kind.folder}", kind.delimiter) for kind in kinds}
 
 
 def filter_notes_type(notes: DataFrame, label: str) -> DataFrame:

@@ -24,7 +24,7 @@ from wardloom.plans import sample, tables
 from wardloom.plans.incremental import Source, load_new_files, newest
 from wardloom.plans.notes import ADMISSION, DISCHARGE, FOLLOW_UP, KINDS, NoteKind, doctor_notes, filter_notes_type, load_notes, make_notes, note_corpora
 from wardloom.plans.tables import TableLoad, rename_columns
-from wardloom.session import fresh_dir
+from wardloom.session import delete_folder, fresh_dir, shuffles_freed
 from wardloom.sinks.report import LoadReport
 from wardloom.sinks.snapshot import SnapshotTable
 from wardloom.sources.incremental import Bookmark
@@ -97,7 +97,8 @@ def _drop_files(docs: DataFrame, folder: str, delimiter: str = "\n") -> None:
     """Write the documents to text files of FILE_DOCS ids each, in order of id, each with ``delimiter`` after it."""
     after = "" if delimiter == "\n" else "\n" + delimiter
     rows = docs.select(F.lpad(F.floor(F.col("doc_id") / FILE_DOCS).cast("string"), 12, "0").alias("part"), "doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(after)).alias("value"))
-    rows.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").mode("append").text(folder)
+    with shuffles_freed(docs.sparkSession):
+        rows.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").mode("append").text(folder)
 
 
 def corpus_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,11 +287,22 @@ def doctor_notes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notes_from_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three note folders with their own delimiters, read and cut; all notes of all users, loaded and read back."""
+    """The three note folders with their own delimiters, read and cut; all notes of all users, loaded and read back.
+
+    The folders are this query's own. They are filled and read one after another, and each is deleted once its records
+    stand in the working folder, so that the texts do not lie there three times over.
+    """
     docs, base, target = _table(spark, sf_dir, "documents"), fresh_dir(spark, "landing"), _snapshot(spark, "doctor_notes")
-    for kind in KINDS:
-        _drop_files(docs, f"{base}/{kind.folder}", kind.delimiter)
-    load_notes(target, _note_users(spark, sf_dir), lambda: note_corpora(spark, base), lexicon=sample.lexicon(spark), rules=sample.RULES)
+
+    def corpora() -> dict[NoteKind, Corpus]:
+        found = {}
+        for kind in KINDS:
+            _drop_files(docs, f"{base}/{kind.folder}", kind.delimiter)
+            found |= note_corpora(spark, base, [kind])
+            delete_folder(spark, f"{base}/{kind.folder}")
+        return found
+
+    load_notes(target, _note_users(spark, sf_dir), corpora, lexicon=sample.lexicon(spark), rules=sample.RULES)
     return target.read()
 
 

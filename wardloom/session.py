@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from urllib.parse import unquote
 
@@ -117,6 +119,20 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files behind a write are deleted as soon as the write ends."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -129,15 +145,8 @@ def materialize(df: DataFrame, label: str, compression: str | None = None) -> Da
     path = fresh_dir(spark, label)
     if _open_owners.get():
         _open_owners.get()[-1]._folders.append(path)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with shuffles_freed(spark):
         df.write.parquet(path, compression=compression)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -26,11 +26,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardloom.session import Intermediates, delete_folder, materialize
+from wardloom.session import Intermediates, delete_folder, materialize, shuffles_freed
 from wardloom.sources.versions import VersionLog
 
 LOAD = "load"
 BUCKET = "bucket_of_key"
+CODEC = "zstd"  # finds a text again further back than others do, and so keeps equal texts that lie side by side once
 PART = "part_of_"  # folders of a text partition column are named by a copy of it, since "" and NULL share a folder name
 
 
@@ -183,9 +184,9 @@ class SnapshotTable:
         if levels:
             # Gathers each folder's rows into few files; adaptive execution splits the hot ones.
             df = df.withColumns({name: value for name, value, _ in levels}).hint("rebalance", *names)
-            df.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*names).parquet(path)
-        else:
-            df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        with shuffles_freed(self.spark):
+            writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+            (writer.partitionBy(*names) if levels else writer).parquet(path, compression=CODEC)
         rows = counted.get["rows"]
         if not rows:
             delete_folder(self.spark, path)

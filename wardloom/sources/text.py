@@ -127,7 +127,8 @@ def read_text_records(spark: SparkSession, folder: str | list[str], delimiter: s
     crosses the end of a split: each line's runs of delimiter characters are cut as a cut of the whole file would
     cut them. Every split reports its records, and its first and last piece, which may go on in other
     splits; only those pieces are carried over and joined. ``block`` is the split where a record begins; ``seq`` counts
-    within it from 0. A record has to fit in a row; a byte order mark is dropped. The result is written once.
+    within it from 0. A record has to fit in a row; a byte order mark is dropped. The result reads what has been written
+    once: the cut texts, and apart from them the few that had to be joined.
     """
     if "\n" in delimiter or not delimiter:
         raise ValueError("the delimiter must not be empty or hold a newline")
@@ -142,7 +143,7 @@ def read_text_records(spark: SparkSession, folder: str | list[str], delimiter: s
             F.col("value").cast("binary").alias("line"),
         )
     )
-    cut = materialize(lines.mapInArrow(_cutter(delimiter.encode()), CUT_SCHEMA), "records")
+    cut = materialize(lines.mapInArrow(_cutter(delimiter.encode()), CUT_SCHEMA), "records", compression="zstd")
     whole = cut.filter("opens and closes").select("file", "block", "seq", "text")
 
     # A few pieces per split are left. Lines end in a newline each, but for the last line of some files: the
@@ -157,4 +158,4 @@ def read_text_records(spark: SparkSession, folder: str | list[str], delimiter: s
     )
     parts = F.sort_array(F.collect_list(F.struct("block", (~F.col("closes")).alias("after"), "text")))
     joined = pieces.groupBy("file", "record").agg(F.min("block").alias("block"), F.max("seq").alias("seq"), F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"))
-    return materialize(whole.unionByName(joined.filter("text <> ''").select(*whole.columns)), "records")
+    return whole.unionByName(materialize(joined.filter("text <> ''").select(*whole.columns), "joined-records", compression="zstd"))
