@@ -184,7 +184,7 @@ class SnapshotTable:
         if levels:
             # Gathers each folder's rows into few files; adaptive execution splits the hot ones.
             df = df.withColumns({name: value for name, value, _ in levels}).hint("rebalance", *names)
-        with shuffles_freed(self.spark):
+        with shuffles_freed(df.sparkSession):
             writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
             (writer.partitionBy(*names) if levels else writer).parquet(path, compression=CODEC)
         rows = counted.get["rows"]
